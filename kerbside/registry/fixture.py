@@ -6,66 +6,54 @@ One event gives one trip, every twentieth event a second one with the same key b
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.zones import zone_lookup
 
 # Seconds from pickup to dropoff for every n-th event; the first divisor that fits wins.
-DROPOFF_AFTER_SEC = ((97, -300), (89, -30), (83, -60), (79, 7200), (73, 60), (71, 59))
+DROPOFF_AFTER_SEC = ((97, -300), (89, -30), (83, -60), (79, 7200), (73, 60), (71, 59), (223, None))
 # Distance for every n-th event; the first divisor that fits wins.
-DISTANCE_MILES = ((53, 0.0), (59, -1.0), (61, 30.0), (227, None))
+DISTANCE_MILES = ((53, 0), (59, -1), (61, 30), (227, None))
 # Boroughs that the cleaner excludes.
 PLACEHOLDER_ZONES = ((22, "EWR"), (23, "Unknown"), (24, "N/A"))
 
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, value DOUBLE"
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
 
+def _first_fit(divisors: tuple[tuple[int, int | None], ...], otherwise: str) -> str:
+    cases = " ".join(f"WHEN event_id % {n} = 0 THEN {'NULL' if v is None else v}" for n, v in divisors)
+    return f"CASE {cases} ELSE {otherwise} END"
 
-def _seconds_later(when: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, when)
+
+def _trip(passengers: str, miles: str) -> str:
+    after_sec = _first_fit(DROPOFF_AFTER_SEC, "CAST(floor(value * 60) AS INT)")
+    return f"""struct(
+        CASE WHEN event_id % 211 <> 0 THEN pickup END AS tpep_pickup_datetime,
+        timestampadd(SECOND, {after_sec}, pickup) AS tpep_dropoff_datetime,
+        CAST({passengers} AS BIGINT) AS passenger_count,
+        CAST({miles} AS DOUBLE) AS trip_distance,
+        CAST((user_id + event_id * 5) % 27 AS INT) AS PULocationID,
+        CAST((user_id * 7 + event_id) % 27 AS INT) AS DOLocationID)"""
 
 
 def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "value")
-    # One scan: the second copy comes from exploding a one- or two-element array, not from a second read.
-    copies = F.when(_every(20), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    event = F.col("event_id")
-    day = F.timestamp_add("DAY", (F.lit(364) + event % 370).cast("int"), F.col("ts").cast("timestamp_ntz"))
-    trips = events.withColumn("copy", F.explode(copies)).withColumn("pickup", day)
-    pickup, second_copy = F.col("pickup"), F.col("copy") == 1
-
-    by_value = _seconds_later(pickup, F.floor(F.col("value") * 60).cast("int"))
-    dropoff = None
-    for n, seconds in DROPOFF_AFTER_SEC:
-        later = _seconds_later(pickup, F.lit(seconds))
-        dropoff = F.when(_every(n), later) if dropoff is None else dropoff.when(_every(n), later)
-    dropoff = dropoff.when(_every(223), F.lit(None)).otherwise(by_value)
-
-    miles = F.when(second_copy, F.col("value") / 10 + 0.5)
-    for n, fixed in DISTANCE_MILES:
-        miles = miles.when(_every(n), F.lit(fixed).cast("double"))
-    people = F.when(second_copy, event % 5).when(_every(11), F.lit(None)).otherwise(event % 7)
-    return trips.select(
-        F.when(~_every(211), pickup).alias("tpep_pickup_datetime"),
-        dropoff.alias("tpep_dropoff_datetime"),
-        people.cast("bigint").alias("passenger_count"),
-        miles.otherwise(F.col("value") / 10).alias("trip_distance"),
-        ((F.col("user_id") + event * 5) % 27).cast("int").alias("PULocationID"),
-        ((F.col("user_id") * 7 + event) % 27).cast("int").alias("DOLocationID"),
-    )
+    """One scan: an event becomes an array of one or two trips. The array is also where filters stop:
+    pushed below it they would repeat the whole derivation in each condition."""
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    first = _trip("IF(event_id % 11 = 0, NULL, event_id % 7)", _first_fit(DISTANCE_MILES, "value / 10"))
+    second = _trip("event_id % 5", "value / 10 + 0.5D")
+    return events.selectExpr(
+        "*", "timestampadd(DAY, CAST(364 + event_id % 370 AS INT), ts) AS pickup"
+    ).selectExpr(f"inline(IF(event_id % 20 = 0, array({first}, {second}), array({first})))")
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
-    name = None
-    for key, placeholder in PLACEHOLDER_ZONES:
-        is_key = F.col("n_nationkey") == key
-        name = F.when(is_key, placeholder) if name is None else name.when(is_key, placeholder)
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("int").alias("LocationID"), name.otherwise(F.col("r_name")).alias("Borough")
+    nation = spark.read.schema("n_nationkey INT, n_regionkey INT").parquet(f"{sf_dir}/nation.parquet")
+    region = spark.read.schema("r_regionkey INT, r_name STRING").parquet(f"{sf_dir}/region.parquet")
+    placeholders = " ".join(f"WHEN n_nationkey = {key} THEN '{name}'" for key, name in PLACEHOLDER_ZONES)
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "n_nationkey AS LocationID", f"CASE {placeholders} ELSE r_name END AS Borough"
     )
 
 

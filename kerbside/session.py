@@ -13,6 +13,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Recording a Python call site per expression takes longer than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
