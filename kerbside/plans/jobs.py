@@ -20,11 +20,18 @@ from kerbside.sources.lake import (
     aligned_with_bronze,
     read_bronze,
     read_table,
+    replace_bronze_month,
+    replace_silver_month,
     write_bronze,
     write_silver,
     write_table,
 )
-from kerbside.sources.monthly_files import expected_months, found_month_counts, read_monthly_files
+from kerbside.sources.monthly_files import (
+    expected_months,
+    found_month_counts,
+    found_months,
+    read_monthly_files,
+)
 from kerbside.sources.zone_file import read_zones
 
 
@@ -32,10 +39,15 @@ def build_bronze(
     spark: SparkSession, lake: LakeLayout, period: Period = Period(), only_these_months: bool = False
 ) -> int:
     """Store the monthly files of the period; returns the rows written."""
-    trips = read_monthly_files(spark, lake.raw, period)
-    if only_these_months:
-        trips = aligned_with_bronze(trips, lake.bronze)
-    return write_bronze(trips, lake.bronze, only_these_months)
+    if not only_these_months:
+        return write_bronze(read_monthly_files(spark, lake.raw, period), lake.bronze)
+    present = found_months(spark, lake.raw, period)
+    written = 0
+    for month in period.each_month():
+        if month.months[0] in present:
+            trips = aligned_with_bronze(read_monthly_files(spark, lake.raw, month), lake.bronze)
+            written += replace_bronze_month(trips, lake.bronze, month.start)
+    return written
 
 
 def build_silver(
@@ -45,9 +57,18 @@ def build_silver(
     rules: CleaningRules = CleaningRules(),
     only_these_months: bool = False,
 ) -> int:
-    """Store the clean trips of the period; returns the rows written."""
-    cleaned = read_bronze(spark, lake.bronze, period).transform(clean_trips, period, rules)
-    return write_silver(cleaned, lake.silver, only_these_months)
+    """Store the clean trips of the period; returns the rows written.
+
+    A full build is one job for all months. A partial one has a job per month, each of which scans little
+    more than that month; months are disjoint by pickup, which is part of the trip key, so the rows are the same.
+    """
+
+    def cleaned(span: Period) -> DataFrame:
+        return read_bronze(spark, lake.bronze, span).transform(clean_trips, span, rules)
+
+    if not only_these_months:
+        return write_silver(cleaned(period), lake.silver)
+    return sum(replace_silver_month(cleaned(month), lake.silver, month.start) for month in period.each_month())
 
 
 def build_gold(spark: SparkSession, lake: LakeLayout, by_year: bool = False) -> dict[str, int]:

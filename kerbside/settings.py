@@ -46,6 +46,11 @@ class Period:
         first = self.start.year * 12 + self.start.month - 1
         return [f"{n // 12:04d}-{n % 12 + 1:02d}" for n in range(first, first + self.month_count)]
 
+    def each_month(self) -> list[Period]:
+        """The period split into its single months."""
+        firsts = [date.fromisoformat(f"{m}-01") for m in self.months] + [self.end]
+        return [Period(first, following) for first, following in zip(firsts, firsts[1:])]
+
     @property
     def several_years(self) -> bool:
         """True when a month number alone would mix two years."""

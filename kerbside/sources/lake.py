@@ -1,12 +1,15 @@
 """The layers of the lake: Parquet directories on any Hadoop file system.
 
-Writing twice gives the same table. A full build replaces the directory. A build of some months replaces the
-partitions of these months and no others, so nothing is appended to the data of an earlier run.
+Writing twice gives the same table. A full build replaces the directory, a build of some months replaces the
+directories of these months: nothing is ever appended to the data of an earlier run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from datetime import date
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,41 +23,64 @@ def _counted(table: DataFrame) -> tuple[DataFrame, Observation]:
     return table.observe(seen, F.count("*").alias("rows")), seen
 
 
-def _partitioned(table: DataFrame, column: str, only_these_partitions: bool) -> DataFrameWriter:
-    mode = "dynamic" if only_these_partitions else "static"
-    return table.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(column)
+def _store(table: DataFrame, path: str, partitioned_by: str | None = None) -> int:
+    counted, seen = _counted(table)
+    writer = counted.write.mode("overwrite")
+    (writer.partitionBy(partitioned_by) if partitioned_by else writer).parquet(path)
+    return seen.get["rows"]
+
+
+def _month_dir(path: str, column: str, month: date) -> str:
+    return f"{path}/{column}={month.isoformat()}"
 
 
-def write_bronze(trips: DataFrame, path: str, only_these_partitions: bool = False) -> int:
-    """Store raw trips by the month of their file; returns the rows written.
+def _with_pickup_date(trips: DataFrame) -> DataFrame:
+    return trips.withColumn("pickup_date", F.col("tpep_pickup_datetime").cast("date"))
+
+
+def write_bronze(trips: DataFrame, path: str) -> int:
+    """Store raw trips by the month of their file, replacing all of bronze; returns the rows written.
 
     The file's month, not the pickup's: a file holds stray pickups of other months, and replacing it must replace
     exactly its own rows. The pickup's date is stored as a column, whose min/max per row group lets a build of one
     month skip the rest. No shuffle: each task writes the splits it reads.
     """
-    dated = trips.withColumn("pickup_date", F.col("tpep_pickup_datetime").cast("date"))
-    counted, seen = _counted(dated)
-    _partitioned(counted, "source_month", only_these_partitions).parquet(path)
-    return seen.get["rows"]
+    return _store(_with_pickup_date(trips), path, "source_month")
+
 
+def replace_bronze_month(trips: DataFrame, path: str, month: date) -> int:
+    """Store the trips of one file, replacing what bronze had from that file and nothing else."""
+    return _store(_with_pickup_date(trips).drop("source_month"), _month_dir(path, "source_month", month))
 
-def write_silver(trips: DataFrame, path: str, only_these_partitions: bool = False) -> int:
-    """Store clean trips by pickup month; returns the rows written.
+
+def write_silver(trips: DataFrame, path: str) -> int:
+    """Store clean trips by pickup month, replacing all of silver; returns the rows written.
 
     ``rebalance`` gathers each month into files of the advisory size. Without it every task of the deduplication would
     leave a small file in every month. Adaptive execution splits a month that is larger than one task.
     """
     dated = trips.withColumn("pickup_month", month_start(F.col("pickup_datetime")))
-    counted, seen = _counted(dated.hint("rebalance", "pickup_month"))
-    _partitioned(counted, "pickup_month", only_these_partitions).parquet(path)
-    return seen.get["rows"]
+    return _store(dated.hint("rebalance", "pickup_month"), path, "pickup_month")
+
+
+def replace_silver_month(trips: DataFrame, path: str, month: date) -> int:
+    """Store the clean trips of one month, replacing that month and nothing else, also when none are left."""
+    return _store(trips.hint("rebalance"), _month_dir(path, "pickup_month", month))
 
 
 def write_table(table: DataFrame, path: str) -> int:
-    """Store a small unpartitioned table; returns the rows written."""
-    counted, seen = _counted(table)
-    counted.write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+    """Store a small unpartitioned table, replacing it; returns the rows written."""
+    return _store(table, path)
+
+
+def schema_if_present(spark: SparkSession, path: str) -> T.StructType | None:
+    """Schema of a Parquet file or directory, or None when there is no such path. Any other error is raised."""
+    try:
+        return spark.read.parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -78,7 +104,7 @@ def read_bronze(spark: SparkSession, path: str, picked_up_in: Period | None = No
 
 def aligned_with_bronze(trips: DataFrame, path: str) -> DataFrame:
     """Cast the columns that stored bronze has too to its types, so that months added later stay readable with it."""
-    stored = {f.name.lower(): f for f in trips.sparkSession.read.parquet(path).schema}
+    stored = {f.name.lower(): f for f in schema_if_present(trips.sparkSession, path) or []}
     return trips.select(
         *[
             F.col(c).cast(stored[c.lower()].dataType).alias(stored[c.lower()].name) if c.lower() in stored else F.col(c)

@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.schemas import BRONZE_TRIPS
 from kerbside.settings import MONTH_FILE, Period
+from kerbside.sources.lake import schema_if_present
 
 
 def found_months(spark: SparkSession, raw_dir: str, period: Period, pattern: str = MONTH_FILE) -> dict[str, T.StructType]:
@@ -20,14 +20,8 @@ def found_months(spark: SparkSession, raw_dir: str, period: Period, pattern: str
     Only "no such path" means a missing month. A file that cannot be read raises: silently skipping it would
     lose a month.
     """
-    found = {}
-    for month in period.months:
-        try:
-            found[month] = spark.read.parquet(f"{raw_dir}/{pattern.format(month=month)}").schema
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return found
+    schemas = {month: schema_if_present(spark, f"{raw_dir}/{pattern.format(month=month)}") for month in period.months}
+    return {month: schema for month, schema in schemas.items() if schema is not None}
 
 
 def conform(trips: DataFrame, declared: T.StructType = BRONZE_TRIPS) -> DataFrame:
