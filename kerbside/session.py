@@ -13,6 +13,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A task that writes a few partitions keeps their files open instead of sorting all its rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Recording a Python call site per expression takes longer than planning the query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -23,10 +23,10 @@ def _counted(table: DataFrame) -> tuple[DataFrame, Observation]:
     return table.observe(seen, F.count("*").alias("rows")), seen
 
 
-def _store(table: DataFrame, path: str, partitioned_by: str | None = None) -> int:
+def _store(table: DataFrame, path: str, *partitioned_by: str) -> int:
     counted, seen = _counted(table)
     writer = counted.write.mode("overwrite")
-    (writer.partitionBy(partitioned_by) if partitioned_by else writer).parquet(path)
+    (writer.partitionBy(*partitioned_by) if partitioned_by else writer).parquet(path)
     return seen.get["rows"]
 
 
@@ -34,23 +34,27 @@ def _month_dir(path: str, column: str, month: date) -> str:
     return f"{path}/{column}={month.isoformat()}"
 
 
-def _with_pickup_date(trips: DataFrame) -> DataFrame:
-    return trips.withColumn("pickup_date", F.col("tpep_pickup_datetime").cast("date"))
+def _with_strays_marked(trips: DataFrame) -> DataFrame:
+    """``stray`` is 1 for a pickup (or a missing one) outside the month of the file, else 0."""
+    own = month_start(F.col("tpep_pickup_datetime")).eqNullSafe(F.col("source_month"))
+    return trips.withColumn("stray", F.when(own, 0).otherwise(1))
 
 
 def write_bronze(trips: DataFrame, path: str) -> int:
     """Store raw trips by the month of their file, replacing all of bronze; returns the rows written.
 
-    The file's month, not the pickup's: a file holds stray pickups of other months, and replacing it must replace
-    exactly its own rows. The pickup's date is stored as a column, whose min/max per row group lets a build of one
-    month skip the rest. No shuffle: each task writes the splits it reads.
+    The file's month, not the pickup's: replacing a file must replace exactly its own rows. But every file holds a few
+    stray pickups of other months, even years, which would make it useless to skip data by pickup time. So strays
+    go to a partition of their own, and a build of one month reads that month and all (few) strays.
+    No shuffle: each task writes the splits it reads.
     """
-    return _store(_with_pickup_date(trips), path, "source_month")
+    return _store(_with_strays_marked(trips), path, "source_month", "stray")
 
 
 def replace_bronze_month(trips: DataFrame, path: str, month: date) -> int:
     """Store the trips of one file, replacing what bronze had from that file and nothing else."""
-    return _store(_with_pickup_date(trips).drop("source_month"), _month_dir(path, "source_month", month))
+    marked = _with_strays_marked(trips).drop("source_month")
+    return _store(marked, _month_dir(path, "source_month", month), "stray")
 
 
 def write_silver(trips: DataFrame, path: str) -> int:
@@ -92,14 +96,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def read_bronze(spark: SparkSession, path: str, picked_up_in: Period | None = None) -> DataFrame:
     """Bronze trips without the columns that the layer adds.
 
-    Later months may have columns that earlier ones lack, so the footers are merged. The date range reaches the
-    Parquet scan, which then skips the row groups (nearly all other months) that hold no such day.
+    Later months may have columns that earlier ones lack, so the footers are merged. With a period the scan is cut down
+    to the partitions that can hold its pickups; the rows still have to be filtered.
     """
     stored = spark.read.option("mergeSchema", True).parquet(path)
     if picked_up_in is not None:
-        day = F.col("pickup_date")
-        stored = stored.filter((day >= F.lit(picked_up_in.start)) & (day < F.lit(picked_up_in.end)))
-    return stored.drop("pickup_date", "source_month")
+        month = F.col("source_month")
+        own = (month >= F.lit(picked_up_in.start)) & (month < F.lit(picked_up_in.end))
+        stored = stored.filter((F.col("stray") == 1) | own)
+    return stored.drop("stray", "source_month")
 
 
 def aligned_with_bronze(trips: DataFrame, path: str) -> DataFrame:
