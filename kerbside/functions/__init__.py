@@ -3,6 +3,7 @@
 from kerbside.functions.columns import (
     as_stored,
     elapsed_seconds,
+    epoch_micros,
     known_borough,
     mean_of_parts,
     month_start,
@@ -14,6 +15,7 @@ from kerbside.functions.columns import (
 __all__ = [
     "as_stored",
     "elapsed_seconds",
+    "epoch_micros",
     "known_borough",
     "mean_of_parts",
     "month_start",

@@ -26,6 +26,12 @@ def elapsed_seconds(start: Column, end: Column) -> Column:
     return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 
+def epoch_micros(when: Column) -> Column:
+    """Microseconds since 1970 of a zone-free time, whatever the session's zone."""
+    fraction = F.pmod((F.extract(F.lit("SECOND"), when) * 1_000_000).cast("bigint"), F.lit(1_000_000))
+    return F.unix_timestamp(when) * 1_000_000 + fraction
+
+
 def known_borough(borough: Column, excluded: Sequence[str] = EXCLUDED_BOROUGHS) -> Column:
     """Present and not one of the placeholder names; the comparison is case-sensitive."""
     return borough.isNotNull() & ~borough.isin(*excluded)

@@ -134,6 +134,7 @@ def check_gold(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
     profiled = {**tables, "demand_by_borough": quality.recheck_boroughs(tables["demand_by_borough"])}
     return {
         "schema": quality.schema_report(tables, GOLD),
+        **{f"sample of {name}": quality.sample(table) for name, table in profiled.items()},
         "nulls": quality.null_profile(profiled),
         "rows": quality.row_counts(tables),
         "hours": quality.hours_present(tables["hourly_demand"]),

@@ -320,6 +320,9 @@ FROM (SELECT * FROM silver
       ORDER BY pickup_datetime, dropoff_datetime, pickup_location_id NULLS FIRST, dropoff_location_id NULLS FIRST LIMIT 5)"""
     ),
     "dq_gold_null_profile": _gold(_null_profile()),
+    "dq_gold_sample": _gold(
+        "SELECT Borough, DO_Borough, ride_count FROM popular_routes ORDER BY Borough, DO_Borough, ride_count LIMIT 5"
+    ),
     "dq_gold_hours_present": _gold(
         """SELECT CAST(h AS INTEGER) AS hour, h IN (SELECT hour FROM hourly_demand) AS present
 FROM generate_series(0, 23) AS s(h) ORDER BY hour"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.functions import epoch_micros
 from kerbside.operators import cleaning, demand, quality, views
 from kerbside.operators.zones import with_boroughs, zone_id_uniqueness
 from kerbside.registry import fixture
@@ -22,7 +23,7 @@ def _comparable(table: DataFrame) -> DataFrame:
     """Times as microseconds since the epoch (``<name>_us``), which every engine hashes alike."""
     return table.select(
         *[
-            F.unix_micros(F.col(f.name).cast("timestamp")).alias(f"{f.name}_us")
+            epoch_micros(F.col(f.name)).alias(f"{f.name}_us")
             if isinstance(f.dataType, T.TimestampNTZType)
             else F.col(f.name)
             for f in table.schema
@@ -170,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "dq_silver_gate": lambda spark, sf_dir: quality.silver_gate(quality.silver_metrics(_silver(spark, sf_dir))),
     "dq_silver_sample": _stage(_from_silver(quality.silver_sample)),
     "dq_gold_null_profile": gold_null_profile,
+    "dq_gold_sample": _served(quality.sample, popular_routes),
     "dq_gold_hours_present": _served(quality.hours_present, hourly_demand),
     "dq_gold_nonpositive_routes": _served(quality.nonpositive_routes, popular_routes),
     "dq_gold_row_counts": lambda spark, sf_dir: quality.row_counts(_gold(spark, sf_dir)),

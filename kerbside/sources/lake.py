@@ -69,7 +69,7 @@ def write_silver(trips: DataFrame, path: str) -> int:
 
 def replace_silver_month(trips: DataFrame, path: str, month: date) -> int:
     """Store the clean trips of one month, replacing that month and nothing else, also when none are left."""
-    return _store(trips.hint("rebalance"), _month_dir(path, "pickup_month", month))
+    return _store(trips.hint("rebalance", "pickup_datetime"), _month_dir(path, "pickup_month", month))
 
 
 def write_table(table: DataFrame, path: str) -> int:

@@ -69,7 +69,7 @@ def found_month_counts(bronze: DataFrame) -> DataFrame:
 
 def pickup_month_counts(bronze: DataFrame) -> DataFrame:
     """(month, row_count) per month of pickup, for trips that do not come in monthly files."""
-    month = F.date_format(F.col("tpep_pickup_datetime"), "yyyy-MM")
+    month = F.date_format(F.col("tpep_pickup_datetime").cast("date"), "yyyy-MM")
     return bronze.groupBy(month.alias("month")).agg(F.count("*").alias("row_count")).filter(F.col("month").isNotNull())
 
 

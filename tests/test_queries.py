@@ -30,6 +30,19 @@ def test_query_matches_its_oracle(spark, connection, name):
     assert good, detail
 
 
+@pytest.mark.parametrize(
+    "name", ["bronze_trips", "bronze_month_coverage", "silver_clean_trips", "gold_hourly_demand", "gold_avg_duration"]
+)
+def test_the_session_zone_changes_nothing(spark, connection, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        good, detail = matches(spark, connection, SF, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert good, detail
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_column_types_match_the_oracle(spark, connection, name):
     shown = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
