@@ -7,7 +7,7 @@ from datetime import date
 
 from kerbside.operators.views import VIEWS
 from kerbside.plans import jobs
-from kerbside.session import build_session, object_store_conf
+from kerbside.session import CLUSTER_CONF, build_session, object_store_conf
 from kerbside.settings import LakeLayout, Period
 
 CHECKS = {
@@ -35,7 +35,7 @@ def main() -> None:
     args = _arguments()
     if args.stage == "serve" and not args.view:
         raise SystemExit("serve needs --view")
-    confs = [object_store_conf(args.s3_endpoint)] if args.s3_endpoint else []
+    confs = [CLUSTER_CONF, object_store_conf(args.s3_endpoint)] if args.s3_endpoint else [CLUSTER_CONF]
     spark = build_session(f"kerbside {args.stage}", *confs)
     lake, period = LakeLayout(args.lake), Period(args.start, args.end)
     if args.stage == "bronze":

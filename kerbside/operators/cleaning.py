@@ -127,8 +127,12 @@ def filtered_trips(
 def clean_trips(
     trips: DataFrame, period: Period = DEFAULT_PERIOD, rules: CleaningRules = DEFAULT_RULES
 ) -> DataFrame:
-    """Bronze trips to silver trips in one pass over the whole period."""
-    return trips.transform(filtered_trips, period, rules).transform(one_row_per_trip)
+    """Bronze trips to silver trips in one pass over the whole period.
+
+    The duration follows from the trip key, so it is not carried through the shuffle but worked out again after it.
+    """
+    kept = trips.transform(filtered_trips, period, rules).drop("duration_sec").transform(one_row_per_trip)
+    return kept.transform(with_duration)
 
 
 def cleaning_funnel(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values. Adaptive execution sizes the shuffles: the initial number of partitions is an upper bound.
@@ -18,6 +19,7 @@ BASE_CONF = {
     # Recording a Python call site per expression takes longer than planning the query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Sizes for large tables. Files and tasks of 256 MiB instead of as many as there are cores.
 CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -45,11 +47,14 @@ def object_store_conf(
 
 
 def build_session(app_name: str, *confs: dict[str, str]) -> SparkSession:
-    """A session with the base settings and any others; master and resources come from ``spark-submit``."""
+    """A session with the base settings and any others. What ``spark-submit`` was given goes first: master,
+    resources, and any of these settings too."""
+    submitted = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     for conf in (BASE_CONF, *confs):
         for key, value in conf.items():
-            builder = builder.config(key, value)
+            if not submitted.contains(key):
+                builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
