@@ -36,7 +36,8 @@ def _month_dir(path: str, column: str, month: date) -> str:
 
 def _with_strays_marked(trips: DataFrame) -> DataFrame:
     """``stray`` is 1 for a pickup (or a missing one) outside the month of the file, else 0."""
-    own = month_start(F.col("tpep_pickup_datetime")).eqNullSafe(F.col("source_month"))
+    pickup, month = F.col("tpep_pickup_datetime"), F.col("source_month")
+    own = (pickup >= month.cast("timestamp_ntz")) & (pickup < F.add_months(month, 1).cast("timestamp_ntz"))
     return trips.withColumn("stray", F.when(own, 0).otherwise(1))
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import json
-import re
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,26 +40,20 @@ def read_monthly_files(
 ) -> DataFrame:
     """All months of the period as one table, with ``source_month`` (date) naming the file of each row.
 
-    Files that disagree on a type cannot be read in one scan, so months are read together only
-    where their schemas agree: usually one scan, one more per drift. Each scan is cast to the
-    declared schema before the union.
+    Files that disagree on a type cannot be read in one scan, so each month is scanned with its own schema and cast to
+    the declared one before the union. The month is a literal of its scan: taking it out of the file's
+    name for every row would cost several times the scan itself.
     """
     found = found_months(spark, raw_dir, period, pattern)
     if not found:
         raise FileNotFoundError(f"no month of {period.start}..{period.end} under {raw_dir}")
-    by_schema: dict[str, list[str]] = {}
-    for month, schema in found.items():
-        by_schema.setdefault(schema.json(), []).append(month)
-    before, after = pattern.split("{month}")
-    trips = None
-    for schema, months in by_schema.items():
-        paths = [f"{raw_dir}/{pattern.format(month=m)}" for m in months]
-        scan = spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*paths)
-        named = F.regexp_extract("_metadata.file_path", re.escape(before) + r"(\d{4}-\d{2})" + re.escape(after), 1)
-        month_of_file = F.to_date(F.concat(named, F.lit("-01")))
-        part = conform(scan.withColumn("source_month", month_of_file))
-        trips = part if trips is None else trips.unionByName(part, allowMissingColumns=True)
-    return trips
+    months = [
+        conform(spark.read.schema(schema).parquet(f"{raw_dir}/{pattern.format(month=month)}")).withColumn(
+            "source_month", F.lit(date.fromisoformat(f"{month}-01"))
+        )
+        for month, schema in found.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), months)
 
 
 def found_month_counts(bronze: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import json
+import shutil
 import subprocess
 import sys
 from datetime import date
@@ -38,16 +39,38 @@ def put_months(trips, lake, months):
         trips.filter(mine).coalesce(1).write.mode("overwrite").parquet(month_file(lake, month))
 
 
-@pytest.fixture
-def lake(spark, tmp_path):
-    layout = LakeLayout(str(tmp_path))
+@pytest.fixture(scope="module")
+def raw_files(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("raw_files")
+    layout = LakeLayout(str(root))
     put_months(fixture.bronze_trips(spark, SF), layout, Period().months)
     raw = fixture.raw_zones(spark, SF).select("LocationID", "Borough", F.lit("z, 1").alias("Zone"))
     lines = ["LocationID,Borough,Zone"] + [f'{i},{b},"{z}"' for i, b, z in rows(raw)]
-    (tmp_path / "raw" / "taxi_zone_lookup.csv").write_text("\n".join(lines) + "\n")
+    (root / "raw" / "taxi_zone_lookup.csv").write_text("\n".join(lines) + "\n")
     return layout
 
 
+@pytest.fixture
+def lake(raw_files, tmp_path):
+    shutil.copytree(raw_files.raw, tmp_path / "raw")
+    return LakeLayout(str(tmp_path))
+
+
+@pytest.fixture(scope="module")
+def built_files(spark, raw_files):
+    jobs.build_bronze(spark, raw_files)
+    jobs.build_silver(spark, raw_files)
+    return raw_files
+
+
+@pytest.fixture
+def built(built_files, tmp_path):
+    """A lake of its own with bronze and silver in place."""
+    for layer in ("raw", "bronze", "silver"):
+        shutil.copytree(f"{built_files.root}/{layer}", tmp_path / layer)
+    return LakeLayout(str(tmp_path))
+
+
 def same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -84,16 +107,14 @@ def test_running_everything_twice_changes_nothing(spark, lake):
     assert sum(r[1] for r in rows(jobs.serve(spark, lake, "hourly-demand"))) == 764
 
 
-def test_replacing_a_month_leaves_the_others(spark, lake):
-    jobs.build_bronze(spark, lake)
-    jobs.build_silver(spark, lake)
-    before = read_table(spark, lake.silver).cache()
+def test_replacing_a_month_leaves_the_others(spark, built):
+    before = read_table(spark, built.silver).cache()
     in_march = before.filter("pickup_month = DATE'2025-03-01'").count()
     assert before.count() == 764 and in_march > 1
     # Rebuilding the month from unchanged files gives the same rows.
-    jobs.build_bronze(spark, lake, MARCH, only_these_months=True)
-    assert jobs.build_silver(spark, lake, MARCH, only_these_months=True) == in_march
-    assert same(read_table(spark, lake.silver), before)
+    jobs.build_bronze(spark, built, MARCH, only_these_months=True)
+    assert jobs.build_silver(spark, built, MARCH, only_these_months=True) == in_march
+    assert same(read_table(spark, built.silver), before)
     # A corrected file replaces its own rows, here by two trips, one of which is a stray pickup of May.
     base = fixture.bronze_trips(spark, SF).limit(1).drop("tpep_pickup_datetime", "tpep_dropoff_datetime")
     fixed = base.selectExpr(
@@ -101,25 +122,23 @@ def test_replacing_a_month_leaves_the_others(spark, lake):
         "tpep_pickup_datetime + INTERVAL '5' MINUTE AS tpep_dropoff_datetime",
         "1L AS passenger_count", "2.0D AS trip_distance", "1 AS PULocationID", "2 AS DOLocationID",
     )
-    fixed.write.mode("overwrite").parquet(month_file(lake, "2025-03"))
-    jobs.build_bronze(spark, lake, MARCH, only_these_months=True)
-    assert jobs.build_silver(spark, lake, MARCH, only_these_months=True) == 1
-    after = read_table(spark, lake.silver)
+    fixed.write.mode("overwrite").parquet(month_file(built, "2025-03"))
+    jobs.build_bronze(spark, built, MARCH, only_these_months=True)
+    assert jobs.build_silver(spark, built, MARCH, only_these_months=True) == 1
+    after = read_table(spark, built.silver)
     assert same(after.filter("pickup_month <> DATE'2025-03-01'"), before.filter("pickup_month <> DATE'2025-03-01'"))
-    assert jobs.build_silver(spark, lake) == 764 - in_march + 2
+    assert jobs.build_silver(spark, built) == 764 - in_march + 2
     before.unpersist()
 
 
-def test_replacing_a_month_with_nothing_empties_it(spark, lake):
-    jobs.build_bronze(spark, lake)
-    jobs.build_silver(spark, lake)
-    read_monthly_files(spark, lake.raw, MARCH).limit(0).drop("source_month").write.mode("overwrite").parquet(
-        month_file(lake, "2025-03-empty")
+def test_replacing_a_month_with_nothing_empties_it(spark, built):
+    read_monthly_files(spark, built.raw, MARCH).limit(0).drop("source_month").write.mode("overwrite").parquet(
+        month_file(built, "2025-03-empty")
     )
-    spark.read.parquet(month_file(lake, "2025-03-empty")).write.mode("overwrite").parquet(month_file(lake, "2025-03"))
-    jobs.build_bronze(spark, lake, MARCH, only_these_months=True)
-    assert jobs.build_silver(spark, lake, MARCH, only_these_months=True) == 0
-    assert read_table(spark, lake.silver).filter("pickup_month = DATE'2025-03-01'").count() == 0
+    spark.read.parquet(month_file(built, "2025-03-empty")).write.mode("overwrite").parquet(month_file(built, "2025-03"))
+    jobs.build_bronze(spark, built, MARCH, only_these_months=True)
+    assert jobs.build_silver(spark, built, MARCH, only_these_months=True) == 0
+    assert read_table(spark, built.silver).filter("pickup_month = DATE'2025-03-01'").count() == 0
 
 
 def test_first_build_may_be_a_single_month(spark, lake):
@@ -197,19 +216,15 @@ def test_zone_file_by_header_and_literal_na(spark, tmp_path):
     assert sorted(rows(zones)) == [(7, "Queens"), (264, "N/A")]
 
 
-def test_repeated_zone_ids_stop_the_gold_build(spark, lake):
-    jobs.build_bronze(spark, lake)
-    jobs.build_silver(spark, lake)
-    with open(lake.zones, "a") as file:
+def test_repeated_zone_ids_stop_the_gold_build(spark, built):
+    with open(built.zones, "a") as file:
         file.write('3,Twice,"x"\n')
     with pytest.raises(QualityError, match="zone_id_unique"):
-        jobs.build_gold(spark, lake)
+        jobs.build_gold(spark, built)
 
 
-def test_silver_files_do_not_multiply(spark, lake):
-    jobs.build_bronze(spark, lake)
-    jobs.build_silver(spark, lake)
-    per_month = [len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{lake.silver}/pickup_month=*")]
+def test_silver_files_do_not_multiply(spark, built):
+    per_month = [len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{built.silver}/pickup_month=*")]
     assert len(per_month) == 12 and max(per_month) == 1
 
 
@@ -229,15 +244,13 @@ def test_period_months():
     assert [m.months for m in period.each_month()] == [[m] for m in period.months]
 
 
-def test_command_line(spark, lake):
+def test_command_line(spark, built):
     def run(*args):
-        command = [sys.executable, "-m", "kerbside", *args, "--lake", lake.root]
+        command = [sys.executable, "-m", "kerbside", *args, "--lake", built.root]
         done = subprocess.run(command, cwd=ROOT, capture_output=True, text=True, timeout=300)
         assert done.returncode == 0, done.stderr[-2000:]
         return done.stdout
 
-    jobs.build_bronze(spark, lake)
-    jobs.build_silver(spark, lake)
     out = run("gold")
     assert {line.split()[0] for line in out.splitlines() if line.endswith(tuple("0123456789"))} >= set(GOLD_TABLES)
     first = json.loads(run("serve", "--view", "popular-routes").splitlines()[0])

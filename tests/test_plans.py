@@ -155,5 +155,6 @@ def test_funnel_takes_one_scan_and_hash_aggregates(spark, layers):
     assert sorted(exchanges(text)) == ["SinglePartition", "hashpartitioning"]
 
 
-def test_monthly_files_of_one_schema_are_one_scan(spark, layers):
-    assert plan(read_monthly_files(spark, f"{layers}/raw")).count("FileScan") == 1
+def test_monthly_files_are_read_once_each_and_not_shuffled(spark, layers):
+    text = plan(read_monthly_files(spark, f"{layers}/raw"))
+    assert text.count("FileScan") == 12 and exchanges(text) == [] and "regexp" not in text
