@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from bench import separate_tables  # noqa: E402
 from kerbside.operators import demand  # noqa: E402
 from kerbside.plans import jobs  # noqa: E402
 from kerbside.registry import fixture  # noqa: E402
@@ -51,25 +52,6 @@ def files(path: str) -> str:
     return f"{len(found)} files, {sum(f.stat().st_size for f in found) / 2**20:.0f} MiB"
 
 
-def separate_tables(silver: DataFrame, lookup: DataFrame) -> None:
-    """The six tables one after the other, each from its own scan of joined trips."""
-    from kerbside.functions import known_borough
-    from kerbside.operators.zones import with_boroughs
-
-    joined = with_boroughs(silver, lookup)
-    known, known_end = known_borough(F.col("Borough")), known_borough(F.col("DO_Borough"))
-    month = F.month("pickup_datetime").alias("month")
-    for table in (
-        joined.groupBy(F.hour("pickup_datetime")).agg(F.count("*")),
-        joined.filter(known).groupBy("Borough").agg(F.count("*")),
-        joined.filter(known & known_end).groupBy("Borough", "DO_Borough").agg(F.count("*")),
-        joined.groupBy(month).agg(F.avg("duration_sec") / 60),
-        joined.groupBy(month).agg(F.avg("trip_distance")),
-        joined.filter("passenger_count > 0").groupBy(month).agg(F.avg("passenger_count")),
-    ):
-        table.write.format("noop").mode("overwrite").save()
-
-
 def main() -> None:
     sf_dir, copies, work = sys.argv[1], int(sys.argv[2]), sys.argv[3]
     builder = SparkSession.builder.master("local[8]").appName("kerbside scale run")
