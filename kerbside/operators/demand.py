@@ -158,7 +158,9 @@ def gold_from_rollup(rollup: DataFrame, lookup: DataFrame) -> dict[str, DataFram
     return {
         "hourly_demand": hours.select("hour", "ride_count").orderBy("hour"),
         "demand_by_borough": borough_totals(per_pickup, lookup),
-        "popular_routes": route_totals(routes.select("pickup_location_id", "dropoff_location_id", "ride_count"), lookup),
+        "popular_routes": route_totals(
+            routes.select("pickup_location_id", "dropoff_location_id", "ride_count"), lookup
+        ),
         "avg_duration": months.select(*calendar, minutes.alias("avg_duration_min")).orderBy(*calendar),
         "avg_distance": months.select(*calendar, miles.alias("avg_distance")).orderBy(*calendar),
         "avg_passengers": (

@@ -47,7 +47,7 @@ def table_profile(table: DataFrame) -> DataFrame:
 
 
 def sample(table: DataFrame, order: list[str] | None = None, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The first rows in a stated order (all columns when none is given), so the sample does not change from run to run."""
+    """The first rows in a stated order (all columns when none is given), so the sample is the same in every run."""
     return table.orderBy(*(order or table.columns)).limit(rows)
 
 

@@ -14,7 +14,9 @@ from kerbside.settings import MONTH_FILE, Period
 from kerbside.sources.lake import schema_if_present
 
 
-def found_months(spark: SparkSession, raw_dir: str, period: Period, pattern: str = MONTH_FILE) -> dict[str, T.StructType]:
+def found_months(
+    spark: SparkSession, raw_dir: str, period: Period, pattern: str = MONTH_FILE
+) -> dict[str, T.StructType]:
     """Schema of every expected month that is there, read from one footer each.
 
     Only "no such path" means a missing month. A file that cannot be read raises: silently skipping it would

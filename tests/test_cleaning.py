@@ -81,7 +81,8 @@ def test_null_passengers_become_zero(bronze):
 
 
 def test_validity_drops_negatives_and_nulls(bronze):
-    trips = bronze({"miles": -0.1}, {"miles": None}, {"miles": 0.0}, {"dropoff": None}, {"dropoff": "2025-03-01 09:00:00"})
+    by_time = [{"dropoff": None}, {"dropoff": "2025-03-01 09:00:00"}]
+    trips = bronze({"miles": -0.1}, {"miles": None}, {"miles": 0.0}, *by_time)
     kept = steps(trips, cleaning.with_duration, cleaning.valid_measures)
     assert rows(kept.select("trip_distance")) == [(0.0,)]
 

@@ -77,7 +77,8 @@ def test_hours_present(spark):
 
 
 def test_nonpositive_routes(spark):
-    routes = spark.createDataFrame([("A", "B", 0), ("A", "C", 1), ("A", "D", -3)], "a STRING, b STRING, ride_count LONG")
+    data = [("A", "B", 0), ("A", "C", 1), ("A", "D", -3)]
+    routes = spark.createDataFrame(data, "Borough STRING, DO_Borough STRING, ride_count LONG")
     assert {r[1] for r in rows(quality.nonpositive_routes(routes))} == {"B", "D"}
 
 

@@ -26,7 +26,8 @@ def test_rounding_null_is_null(spark):
 
 def test_top_routes_cut_and_ties(spark):
     many = [(f"A{n:02d}", "Z", 5) for n in range(25)] + [("B", "Z", 9)]
-    served = views.serve_popular_routes(spark.createDataFrame(many, "Borough STRING, DO_Borough STRING, ride_count LONG"))
+    routes = spark.createDataFrame(many, "Borough STRING, DO_Borough STRING, ride_count LONG")
+    served = views.serve_popular_routes(routes)
     assert served.columns == ["from", "to", "ride_count"]
     got = rows(served)
     assert got[0] == ("B", "Z", 9) and [r[0] for r in got[1:]] == [f"A{n:02d}" for n in range(19)]

@@ -1,7 +1,7 @@
 """Trial at a larger scale: ``python tools/scale_run.py <sf_dir> <copies> <work_dir>``.
 
-Multiplies the derived trips (each copy moves to other times and places), gives a third of all rows one and the same trip key,
-writes monthly raw files, runs raw to gold, and prints seconds, files and shuffle figures per job.
+Multiplies the derived trips (each copy moves to another time), gives a third of all rows one and the same trip key, writes
+monthly raw files, runs raw to gold, and prints seconds and files per job.
 """
 
 from __future__ import annotations
