@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import packing, token_counts
+from kerbside.llm import jaccard_join, packing, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +19,22 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(_documents(spark, sf_dir))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op10_quality_rules": op10_quality_rules,
     "op9_token_counts": op9_token_counts,
 }
 ORACLE: dict[str, str] = {}
