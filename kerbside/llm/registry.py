@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import jaccard_join, packing, quality_rules, token_counts
+from kerbside.llm import jaccard_join, packing, quality_rules, repeats, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_documents(spark, sf_dir))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digest(_documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir))
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_jaccard_join": op5_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_token_counts": op9_token_counts,
 }
 ORACLE: dict[str, str] = {}
