@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import jaccard_join, packing, quality_rules, repeats, token_counts
+from kerbside.llm import decontamination, jaccard_join, packing, quality_rules, repeats, token_counts, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_documents(spark, sf_dir))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contamination(_documents(spark, sf_dir), benchmark)
+
+
+def op7_token_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.written_and_read(_documents(spark, sf_dir))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal_digest(_documents(spark, sf_dir))
 
@@ -39,6 +48,8 @@ QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_jaccard_join": op5_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_token_id_shards": op7_token_id_shards,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_token_counts": op9_token_counts,
 }
