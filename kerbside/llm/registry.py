@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import decontamination, jaccard_join, packing, quality_rules, repeats, token_counts, toxicity, wavelet
+from kerbside.llm import decontamination, html_text, jaccard_join, packing, quality_rules, repeats, token_counts, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
@@ -50,6 +54,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
+    "op3_html_extraction": op3_html_extraction,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_jaccard_join": op5_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
