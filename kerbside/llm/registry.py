@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import decontamination, html_text, jaccard_join, packing, quality_rules, repeats, token_counts, toxicity, wavelet
+from kerbside.llm import decontamination, html_text, jaccard_join, licenses, packing, quality_rules, repeats, token_counts, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(_documents(spark, sf_dir))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -53,6 +57,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
     "op3_html_extraction": op3_html_extraction,
     "op4_best_fit_packing": op4_best_fit_packing,
