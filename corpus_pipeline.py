@@ -1,22 +1,58 @@
-"""The corpus pipeline: each stage reads the documents that the one before has kept."""
+"""The corpus pipeline: each stage reads the documents that the one before has kept, as a written table."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kerbside.llm.decontamination import uncontaminated
+from kerbside.llm.jaccard_join import one_of_each_group
 from kerbside.llm.packing import pack_documents
+from kerbside.llm.quality_rules import documents_kept
+from kerbside.llm.repeats import without_repeats
 from kerbside.llm.tables import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised rules reject go."""
+    return documents_kept(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays."""
+    return one_of_each_group(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Long strings that occur again are cut from the texts; ``n_chars`` follows."""
+    cut = without_repeats(docs)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents left, with their sequences and places."""
     return pack_documents(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("best_fit_packing", packing)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+# Expectation-maximisation and packing have no SQL form; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 

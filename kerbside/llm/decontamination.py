@@ -155,3 +155,21 @@ def _step(items, last: bool):
                 yield pa.RecordBatch.from_arrays([carried, pa.array([t.decode() for t in texts], pa.string())], ["keys", "text"])
 
     return step
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` in which no window of any item occurs. Null texts stay."""
+
+    def cleared(items):
+        def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lookup = Lookup(items.value)
+            for batch in batches:
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                clean = [not len(lookup.starts(word_hashes(contract_words((t or "").encode())))[0]) for t in texts]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return clear
+
+    for held in slices_of(benchmark):
+        docs = docs.mapInArrow(cleared(docs.sparkSession.sparkContext.broadcast(held)), docs.schema)
+    return docs

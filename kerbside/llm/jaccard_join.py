@@ -297,3 +297,18 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), "doc_id").alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` without those that links tie to a document with a smaller doc_id.
+
+    Of rows that share a doc_id one stays; rows without a doc_id stay.
+    """
+    found = jaccard_join(docs)
+    first = stored(found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times")), "first")
+    key = F.col("doc_id").cast("bigint")
+    once = few_or_shuffled(stored(first.filter("times = 1").select(F.col("doc_id").alias("kept_id")), "once"), BROADCAST_ROWS)
+    more = few_or_shuffled(stored(first.filter("times > 1").select(F.col("doc_id").alias("kept_id")), "more"), BROADCAST_ROWS)
+    single = docs.join(once, key == F.col("kept_id"), "left_semi")
+    repeated = docs.join(more, key == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(repeated).unionByName(docs.filter(F.col("doc_id").isNull()))

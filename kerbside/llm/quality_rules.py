@@ -62,15 +62,15 @@ def _repeated_words(words: Column) -> Column:
 
 
 def with_text_measures(docs: DataFrame) -> DataFrame:
-    """(doc_id, measures) for every row of ``docs``; a null text has no words."""
+    """(row, measures) for every row of ``docs``, which ``row`` holds; a null text has no words."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"))
     words = F.filter(F.split("text", "[ \\x09-\\x0D]+", -1), lambda w: w != "")
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-    split = base.select("doc_id", "text", words.alias("words"), lines.alias("lines"))
+    split = base.select("row", "text", words.alias("words"), lines.alias("lines"))
     size = F.length("text").cast("bigint")
     return split.select(
-        "doc_id",
+        "row",
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.translate("text", SPACES, "")).cast("bigint").alias("word_chars"),
         (size - F.length(F.translate("text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
@@ -135,15 +135,26 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     empty texts have no words and fail. Rows with a repeated or null doc_id are judged each for itself; other columns are
     left out. An empty table gives no rows.
     """
-    ballots = votes()
-    measured = stored(with_text_measures(docs).select("*", *[v.alias(k) for k, v in ballots.items()]), "quality")
-    patterns = [(tuple(r[k] for k in ballots), r["n"]) for r in measured.groupBy(*ballots).agg(F.count("*").alias("n")).collect()]
-    prior, ratios = estimated(sorted(patterns), len(ballots))
+    measured = with_text_measures(docs).select("*", *[v.alias(k) for k, v in votes().items()])
+    measured = stored(measured.withColumn("doc_id", F.col("row.doc_id").cast("bigint")).drop("row"), "quality")
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged(measured).select("doc_id", *measures, "base_failed", "kept", "quality_probability", *votes())
+
+
+def judged(measured: DataFrame) -> DataFrame:
+    """Measures and votes with ``base_failed``, ``quality_probability`` and ``kept``; the rules' accuracies come from all rows."""
+    ballots = list(votes())
+    counts = measured.groupBy(*ballots).agg(F.count("*").alias("n")).collect()
+    prior, ratios = estimated(sorted((tuple(r[k] for k in ballots), r["n"]) for r in counts), len(ballots))
     odds = F.lit(prior)
     for name, ratio in zip(ballots, ratios):
         odds = odds + F.when(F.col(name) == 1, ratio[1]).when(F.col(name) == -1, ratio[-1]).otherwise(ratio[0])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = measured.withColumn("base_failed", failed).withColumn("quality_probability", 1 / (1 + F.exp(-odds)))
-    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    kept = ~F.col("base_failed") & (F.col("quality_probability") >= 0.5)
-    return judged.select("doc_id", *measures, "base_failed", kept.alias("kept"), "quality_probability", *ballots)
+    scored = measured.withColumn("base_failed", failed).withColumn("quality_probability", 1 / (1 + F.exp(-odds)))
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality_probability") >= 0.5))
+
+
+def documents_kept(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` that the rules keep."""
+    measured = with_text_measures(docs).select("*", *[v.alias(k) for k, v in votes().items()])
+    return judged(measured).filter("kept").select("row.*")

@@ -306,7 +306,8 @@ def removal_digest(docs: DataFrame, least: int = LEAST, hot: int = HOT_CONTEXTS)
 def without_repeats(docs: DataFrame, least: int = LEAST, hot: int = HOT_CONTEXTS) -> DataFrame:
     """The rows and columns of ``docs`` with repeated strings cut from ``text``.
 
-    A cut may fall inside a character: what is left of it goes too, so that the text stays valid. A null text stays null.
+    A cut may fall inside a character: what is left of it goes too, so that the text stays valid. A null text stays null, and a
+    text that is cut whole stays as an empty one.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
