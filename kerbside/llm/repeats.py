@@ -80,7 +80,7 @@ def runs_of(texts: list[bytes], least: int = LEAST) -> list[tuple[np.ndarray, ..
 
 def text_runs(docs: DataFrame, least: int) -> DataFrame:
     """(node, n_bytes, copies, doc_id, runs) of each distinct text; a node is the hash of a text. A stored table."""
-    piece = 8 << 20
+    piece = 1 << 20  # each byte takes about a hundred while its runs are found
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "node", "anchors", "places", "starts", "counts"]
