@@ -310,6 +310,8 @@ def without_repeats(docs: DataFrame, least: int = LEAST, hot: int = HOT_CONTEXTS
     text that is cut whole stays as an empty one.
     """
 
+    names = list(docs.columns)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = batch.column(batch.schema.get_field_index("repeat_spans")).to_pylist()
@@ -318,7 +320,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST, hot: int = HOT_CONTEXTS
                 t if t is None or not s else _kept(t.encode(), _merged([(x["begin"], x["end"]) for x in s])).decode(errors="ignore")
                 for t, s in zip(batch.column(at).to_pylist(), spans)
             ]
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return with_spans(docs, least, hot).mapInArrow(cut, docs.schema)
