@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 from datetime import date
 
 from kerbside.operators.views import VIEWS
@@ -18,6 +19,10 @@ CHECKS = {
 }
 
 
+# Columns of the layer check that must not be false.
+LAYERS_DISAGREE = {"some_removed", "gold_matches_silver"}
+
+
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="kerbside", description="Trip analytics on Spark.")
     parser.add_argument("stage", choices=["bronze", "silver", "gold", "serve", *CHECKS])
@@ -43,15 +48,21 @@ def main() -> None:
     elif args.stage == "silver":
         print(f"silver rows: {jobs.build_silver(spark, lake, period, only_these_months=args.only_these_months)}")
     elif args.stage == "gold":
-        for table, rows in jobs.build_gold(spark, lake, args.by_year or period.several_years).items():
+        for table, rows in jobs.build_gold(spark, lake, args.by_year or None).items():
             print(f"{table} rows: {rows}")
     elif args.stage == "serve":
         for line in jobs.serve(spark, lake, args.view).toJSON().toLocalIterator():
             print(line)
     else:
+        problems: list[str] = []
         for name, report in CHECKS[args.stage](spark, lake).items():
             print(name)
-            report.show(200, truncate=False)
+            for line in report.toJSON().toLocalIterator():
+                print(line)
+                problems += LAYERS_DISAGREE & {f for f, value in json.loads(line).items() if value is False}
+        if problems:
+            spark.stop()
+            raise SystemExit(f"failed: {', '.join(problems)}")
     spark.stop()
 
 

@@ -1,25 +1,25 @@
 """Column expressions shared by the operators; all of them stay inside the JVM."""
 
 from kerbside.functions.columns import (
-    as_stored,
     elapsed_seconds,
     epoch_micros,
+    exact,
     known_borough,
+    mean_distance,
     mean_of_parts,
     month_start,
     ntz,
     round_half_even,
-    thousandths,
 )
 
 __all__ = [
-    "as_stored",
     "elapsed_seconds",
     "epoch_micros",
+    "exact",
     "known_borough",
+    "mean_distance",
     "mean_of_parts",
     "month_start",
     "ntz",
     "round_half_even",
-    "thousandths",
 ]

@@ -12,7 +12,7 @@ from kerbside.settings import EXCLUDED_BOROUGHS
 
 
 def ntz(day: date) -> Column:
-    """Midnight of ``day`` as a zone-free literal; folds to a constant that Parquet scans can use."""
+    """Midnight of ``day`` as a zone-free literal. Parquet scans do not skip row groups by such times: partitions do."""
     return F.lit(day.isoformat()).cast("timestamp_ntz")
 
 
@@ -37,18 +37,17 @@ def known_borough(borough: Column, excluded: Sequence[str] = EXCLUDED_BOROUGHS)
     return borough.isNotNull() & ~borough.isin(*excluded)
 
 
-def thousandths(miles: Column) -> Column:
-    """Miles as whole thousandths.
+def exact(miles: Column) -> Column:
+    """Miles as a decimal of nine places; null for NaN.
 
-    A sum of doubles depends on the order of the rows, hence on the partitioning. A sum of
-    longs does not, and it is cheaper than a decimal sum. Exact for sources of up to three decimals.
+    A sum of doubles depends on the order of the rows, hence on the partitioning. A sum of decimals does not.
     """
-    return F.floor(miles * F.lit(1000.0) + F.lit(0.5))
+    return F.when(~F.isnan(miles), miles).cast("decimal(28,9)")
 
 
-def as_stored(total_thousandths: Column) -> Column:
-    """Back from a sum of thousandths to miles."""
-    return total_thousandths.cast("double") / F.lit(1000.0)
+def mean_distance(total: Column, rows: Column, not_a_number: Column) -> Column:
+    """Average from an exact total and the number of distances; NaN if there was one, as a mean of doubles has it."""
+    return F.when(not_a_number > 0, F.lit(float("nan"))).otherwise(mean_of_parts(total, rows))
 
 
 def mean_of_parts(total: Column, rows: Column) -> Column:

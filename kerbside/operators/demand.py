@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions import as_stored, known_borough, mean_of_parts, thousandths
+from kerbside.functions import exact, known_borough, mean_distance, mean_of_parts
 
 BY_HOUR, BY_MONTH, BY_ROUTE = "hour", "month", "route"
 
@@ -40,7 +40,6 @@ def hourly_demand(trips: DataFrame) -> DataFrame:
         trips.filter(F.col("pickup_datetime").isNotNull())
         .groupBy(F.hour("pickup_datetime").alias("hour"))
         .agg(F.count("*").alias("ride_count"))
-        .orderBy("hour")
     )
 
 
@@ -64,7 +63,6 @@ def borough_totals(rides: DataFrame, lookup: DataFrame) -> DataFrame:
         rides.join(known, F.col("pickup_location_id") == F.col("zone_LocationID"))
         .groupBy("Borough")
         .agg(F.sum("ride_count").alias("ride_count"))
-        .orderBy(F.desc("ride_count"), "Borough")
     )
 
 
@@ -77,7 +75,6 @@ def route_totals(rides: DataFrame, lookup: DataFrame) -> DataFrame:
         .join(dropoff, F.col("dropoff_location_id") == F.col("DO_zone_id"))
         .groupBy("Borough", "DO_Borough")
         .agg(F.sum("ride_count").alias("ride_count"))
-        .orderBy(F.desc("ride_count"), "Borough", "DO_Borough")
     )
 
 
@@ -88,7 +85,6 @@ def avg_duration(trips: DataFrame, by_year: bool = False) -> DataFrame:
         _with_calendar(trips, by_year)
         .groupBy(*_calendar(by_year))
         .agg((mean_of_parts(F.sum(seconds), F.count(seconds)) / 60).alias("avg_duration_min"))
-        .orderBy(*_calendar(by_year))
     )
 
 
@@ -98,8 +94,7 @@ def avg_distance(trips: DataFrame, by_year: bool = False) -> DataFrame:
     return (
         _with_calendar(trips, by_year)
         .groupBy(*_calendar(by_year))
-        .agg(mean_of_parts(as_stored(F.sum(thousandths(miles))), F.count(miles)).alias("avg_distance"))
-        .orderBy(*_calendar(by_year))
+        .agg(mean_distance(F.sum(exact(miles)), F.count(miles), F.count_if(F.isnan(miles))).alias("avg_distance"))
     )
 
 
@@ -110,7 +105,6 @@ def avg_passengers(trips: DataFrame, by_year: bool = False) -> DataFrame:
         _with_calendar(trips.filter(_has_passengers()), by_year)
         .groupBy(*_calendar(by_year))
         .agg(mean_of_parts(F.sum(people), F.count(people)).alias("avg_passenger_count"))
-        .orderBy(*_calendar(by_year))
     )
 
 
@@ -132,16 +126,19 @@ def activity_rollup(trips: DataFrame, by_year: bool = False) -> DataFrame:
         .otherwise(F.lit(BY_ROUTE))
     )
     with_people = F.when(_has_passengers(), F.col("passenger_count"))
-    measures = keyed.withColumn("people", with_people).withColumn("thousandths", thousandths(F.col("trip_distance")))
+    measures = keyed.withColumn("people", with_people).withColumn("miles", exact(F.col("trip_distance")))
     rolled = measures.groupingSets([["hour"], calendar, places], "hour", *calendar, *places).agg(
         grain.alias("grain"),
         F.count("*").alias("ride_count"),
         F.sum("duration_sec").alias("duration_sec_sum"),
-        F.sum("thousandths").alias("distance_thousandths_sum"),
+        F.count("duration_sec").alias("duration_rides"),
+        F.sum("miles").alias("distance_sum"),
+        F.count("trip_distance").alias("distance_rides"),
+        F.count_if(F.isnan("trip_distance")).alias("distance_nan_rides"),
         F.count("people").alias("passenger_rides"),
         F.sum("people").alias("passenger_sum"),
     )
-    return rolled.select("grain", "hour", *calendar, *places, *rolled.columns[-5:])
+    return rolled.select("grain", "hour", *calendar, *places, *rolled.columns[-8:])
 
 
 def gold_from_rollup(rollup: DataFrame, lookup: DataFrame) -> dict[str, DataFrame]:
@@ -151,21 +148,34 @@ def gold_from_rollup(rollup: DataFrame, lookup: DataFrame) -> dict[str, DataFram
     months = rollup.filter(F.col("grain") == BY_MONTH)
     routes = rollup.filter(F.col("grain") == BY_ROUTE)
     per_pickup = routes.groupBy("pickup_location_id").agg(F.sum("ride_count").alias("ride_count"))
-    rides = F.col("ride_count")
-    minutes = mean_of_parts(F.col("duration_sec_sum"), rides) / 60
-    miles = mean_of_parts(as_stored(F.col("distance_thousandths_sum")), rides)
-    people = mean_of_parts(F.col("passenger_sum"), F.col("passenger_rides"))
     return {
-        "hourly_demand": hours.select("hour", "ride_count").orderBy("hour"),
+        "hourly_demand": hours.select("hour", "ride_count"),
         "demand_by_borough": borough_totals(per_pickup, lookup),
         "popular_routes": route_totals(
             routes.select("pickup_location_id", "dropoff_location_id", "ride_count"), lookup
         ),
-        "avg_duration": months.select(*calendar, minutes.alias("avg_duration_min")).orderBy(*calendar),
-        "avg_distance": months.select(*calendar, miles.alias("avg_distance")).orderBy(*calendar),
-        "avg_passengers": (
-            months.filter(F.col("passenger_rides") > 0)
-            .select(*calendar, people.alias("avg_passenger_count"))
-            .orderBy(*calendar)
-        ),
+        **{name: months.filter(has).select(*calendar, value) for name, (has, value) in _averages().items()},
     }
+
+
+def monthly_averages(rollup: DataFrame) -> DataFrame:
+    """The three averages of each month side by side, out of the rollup's month rows: no join."""
+    values = [F.when(has, value).alias(name) for name, (has, value) in _named_averages().items()]
+    return rollup.filter(F.col("grain") == BY_MONTH).select(*_calendar("year" in rollup.columns), *values)
+
+
+def _named_averages() -> dict[str, tuple[Column, Column]]:
+    """Column: (which month rows of the rollup have it, its value)."""
+    minutes = mean_of_parts(F.col("duration_sec_sum"), F.col("duration_rides")) / 60
+    miles = mean_distance(F.col("distance_sum"), F.col("distance_rides"), F.col("distance_nan_rides"))
+    people = mean_of_parts(F.col("passenger_sum"), F.col("passenger_rides"))
+    return {
+        "avg_duration_min": (F.lit(True), minutes),
+        "avg_distance": (F.lit(True), miles),
+        "avg_passenger_count": (F.col("passenger_rides") > 0, people),
+    }
+
+
+def _averages() -> dict[str, tuple[Column, Column]]:
+    tables = ("avg_duration", "avg_distance", "avg_passengers")
+    return {t: (has, value.alias(name)) for t, (name, (has, value)) in zip(tables, _named_averages().items())}

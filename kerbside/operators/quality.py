@@ -84,11 +84,12 @@ def silver_gate(metrics: DataFrame) -> DataFrame:
     )
 
 
-def enforce(gate: DataFrame) -> None:
-    """Raise if any rule of a gate failed. A gate has a handful of rows."""
+def enforce(gate: DataFrame, metrics: DataFrame | None = None) -> None:
+    """Raise if any rule of a gate failed, and say what was measured. A gate has a handful of rows, metrics have one."""
     failed = [f"{r.check_name} ({r.failures} rows)" for r in gate.filter(~F.col("passed")).collect()]
     if failed:
-        raise QualityError("validation failed: " + ", ".join(failed))
+        measured = "".join(f"; measured: {r.asDict()}" for r in (metrics.collect() if metrics is not None else []))
+        raise QualityError("validation failed: " + ", ".join(failed) + measured)
 
 
 def silver_sample(trips: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:

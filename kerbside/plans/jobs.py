@@ -15,6 +15,7 @@ from kerbside.operators.demand import activity_rollup, gold_from_rollup
 from kerbside.operators.views import VIEWS, dash_monthly_averages, dash_popular_routes
 from kerbside.operators.zones import zone_id_uniqueness
 from kerbside.schemas import BRONZE_TRIPS, GOLD, SILVER_TRIPS
+from kerbside.session import size_shuffles
 from kerbside.settings import GOLD_TABLES, CleaningRules, LakeLayout, Period
 from kerbside.sources.lake import (
     aligned_with_bronze,
@@ -42,11 +43,13 @@ def build_bronze(
     if not only_these_months:
         return write_bronze(read_monthly_files(spark, lake.raw, period), lake.bronze)
     present = found_months(spark, lake.raw, period)
+    missing = [month.months[0] for month in period.each_month() if month.months[0] not in present]
+    if missing:
+        raise FileNotFoundError(f"no raw file for {missing} under {lake.raw}; bronze is unchanged")
     written = 0
     for month in period.each_month():
-        if month.months[0] in present:
-            trips = aligned_with_bronze(read_monthly_files(spark, lake.raw, month), lake.bronze)
-            written += replace_bronze_month(trips, lake.bronze, month.start)
+        trips = aligned_with_bronze(read_monthly_files(spark, lake.raw, month), lake.bronze)
+        written += replace_bronze_month(trips, lake.bronze, month.start)
     return written
 
 
@@ -66,14 +69,17 @@ def build_silver(
     def cleaned(span: Period) -> DataFrame:
         return read_bronze(spark, lake.bronze, span).transform(clean_trips, span, rules)
 
+    size_shuffles(spark, lake.bronze)
     if not only_these_months:
         return write_silver(cleaned(period), lake.silver)
     return sum(replace_silver_month(cleaned(month), lake.silver, month.start) for month in period.each_month())
 
 
-def build_gold(spark: SparkSession, lake: LakeLayout, by_year: bool = False) -> dict[str, int]:
+def build_gold(spark: SparkSession, lake: LakeLayout, by_year: bool | None = None) -> dict[str, int]:
     """Store the rollup, then the six tables read from it; returns the rows of each table.
 
+    Monthly tables carry the year where silver holds several years; a caller who refuses that then gets an error.
+
     Silver is scanned once. A repeated zone id would multiply counts, so the job checks for it first.
     """
     zones = read_zones(spark, lake.zones)
@@ -83,7 +89,12 @@ def build_gold(spark: SparkSession, lake: LakeLayout, by_year: bool = False) ->
         F.col("is_unique").alias("passed"),
     )
     quality.enforce(unique)
-    write_table(activity_rollup(read_table(spark, lake.silver), by_year), lake.rollup)
+    silver = read_table(spark, lake.silver)
+    # The years come from partition names alone.
+    several = silver.select(F.year("pickup_month")).distinct().limit(2).count() > 1
+    if several and by_year is False:
+        raise ValueError("silver holds several years: month numbers would mix")
+    write_table(activity_rollup(silver, bool(by_year) or several), lake.rollup)
     tables = gold_from_rollup(read_table(spark, lake.rollup), zones)
     return {name: write_table(table, lake.gold(name)) for name, table in tables.items()}
 
@@ -118,9 +129,11 @@ def check_bronze(spark: SparkSession, lake: LakeLayout, period: Period = Period(
 def check_silver(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
     """The checks on silver. Raises when a critical one fails."""
     silver = read_table(spark, lake.silver).drop("pickup_month")
-    metrics = quality.silver_metrics(silver)
+    # One pass: the gate and the report are made of the one row that is fetched here.
+    measured = quality.silver_metrics(silver)
+    metrics = spark.createDataFrame(measured.collect(), measured.schema)
     gate = quality.silver_gate(metrics)
-    quality.enforce(gate)
+    quality.enforce(gate, metrics)
     return {
         "schema": quality.schema_report({"silver": silver}, {"silver": SILVER_TRIPS}),
         "metrics": metrics,

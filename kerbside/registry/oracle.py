@@ -101,7 +101,7 @@ enriched AS (
   FROM enriched GROUP BY 1
 ), avg_distance AS (
   SELECT CAST(month(pickup_datetime) AS INTEGER) AS month,
-         CAST(sum(CAST(trip_distance AS DECIMAL(12, 3))) AS DOUBLE) / count(trip_distance) AS avg_distance
+         CAST(sum(CAST(trip_distance AS DECIMAL(28, 9))) AS DOUBLE) / count(trip_distance) AS avg_distance
   FROM enriched GROUP BY 1
 ), avg_passengers AS (
   SELECT CAST(month(pickup_datetime) AS INTEGER) AS month, avg(passenger_count) AS avg_passenger_count
@@ -269,7 +269,10 @@ SELECT CASE WHEN grouping(hour) = 0 THEN 'hour' WHEN grouping(month) = 0 THEN 'm
        hour, month, pickup_location_id, dropoff_location_id,
        count(*) AS ride_count,
        CAST(sum(duration_sec) AS BIGINT) AS duration_sec_sum,
-       CAST(sum(CAST(trip_distance AS DECIMAL(12, 3))) * 1000 AS BIGINT) AS distance_thousandths_sum,
+       count(duration_sec) AS duration_rides,
+       sum(CAST(trip_distance AS DECIMAL(28, 9))) AS distance_sum,
+       count(trip_distance) AS distance_rides,
+       count(*) FILTER (WHERE isnan(trip_distance)) AS distance_nan_rides,
        count(*) FILTER (WHERE passenger_count > 0) AS passenger_rides,
        CAST(sum(passenger_count) FILTER (WHERE passenger_count > 0) AS BIGINT) AS passenger_sum
 FROM keyed

@@ -13,7 +13,6 @@ from kerbside.operators import cleaning, demand, quality, views
 from kerbside.operators.zones import with_boroughs, zone_id_uniqueness
 from kerbside.registry import fixture
 from kerbside.schemas import BRONZE_TRIPS, GOLD, SILVER_TRIPS
-from kerbside.session import cut_lineage
 from kerbside.sources.monthly_files import expected_months, pickup_month_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +63,8 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All six tables from one materialised rollup, as the gold job builds them."""
-    rollup = cut_lineage(demand.activity_rollup(_silver(spark, sf_dir)))
-    return demand.gold_from_rollup(rollup, fixture.zones(spark, sf_dir))
+    """All six tables from one rollup, as the gold job builds them; its exchange is planned once and used again."""
+    return demand.gold_from_rollup(demand.activity_rollup(_silver(spark, sf_dir)), fixture.zones(spark, sf_dir))
 
 
 def _from_silver(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -94,8 +92,7 @@ def _served(view: Callable[[DataFrame], DataFrame], table: Query) -> Query:
 
 
 def monthly_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = _gold(spark, sf_dir)
-    return views.dash_monthly_averages(gold["avg_duration"], gold["avg_distance"], gold["avg_passengers"])
+    return demand.monthly_averages(demand.activity_rollup(_silver(spark, sf_dir))).orderBy("month")
 
 
 def month_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark import SparkConf
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Fixed values. Adaptive execution sizes the shuffles: the initial number of partitions is an upper bound.
 BASE_CONF = {
@@ -58,19 +56,18 @@ def build_session(app_name: str, *confs: dict[str, str]) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Materialise a small intermediate result in the cluster's shared checkpoint folder.
+def size_shuffles(spark: SparkSession, path: str, partition_bytes: int = 256 << 20) -> int:
+    """Give shuffles of a table stored under ``path`` as many initial partitions as it takes to keep them at
+    ``partition_bytes``; adaptive execution merges partitions but never adds any to an aggregate. Returns that number.
 
-    The folder is the one that ``spark.checkpoint.dir`` names. Only a local session without that
-    setting gets a temporary one: on a cluster such a folder would vanish with its machine.
+    A number given to ``spark-submit`` stays. Compressed bytes grow in a shuffle, so the table counts double.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            named = tempfile.mkdtemp(prefix="kerbside-checkpoint-")
-        context.setCheckpointDir(named)
-    return frame.checkpoint()
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if SparkConf().contains(key):
+        return int(spark.conf.get(key))
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stored = files.getContentSummary(target).getLength() if files.exists(target) else 0
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * stored // partition_bytes))
+    spark.conf.set(key, str(width))
+    return width

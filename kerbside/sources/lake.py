@@ -78,10 +78,13 @@ def write_table(table: DataFrame, path: str) -> int:
     return _store(table, path)
 
 
-def schema_if_present(spark: SparkSession, path: str) -> T.StructType | None:
-    """Schema of a Parquet file or directory, or None when there is no such path. Any other error is raised."""
+def schema_if_present(spark: SparkSession, path: str, merged: bool = False) -> T.StructType | None:
+    """Schema of a Parquet file or directory, or None when there is no such path. Any other error is raised.
+
+    ``merged``: of all files together, for a table whose later files have columns that earlier ones lack.
+    """
     try:
-        return spark.read.parquet(path).schema
+        return spark.read.option("mergeSchema", merged).parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -110,7 +113,7 @@ def read_bronze(spark: SparkSession, path: str, picked_up_in: Period | None = No
 
 def aligned_with_bronze(trips: DataFrame, path: str) -> DataFrame:
     """Cast the columns that stored bronze has too to its types, so that months added later stay readable with it."""
-    stored = {f.name.lower(): f for f in schema_if_present(trips.sparkSession, path) or []}
+    stored = {f.name.lower(): f for f in schema_if_present(trips.sparkSession, path, merged=True) or []}
     return trips.select(
         *[
             F.col(c).cast(stored[c.lower()].dataType).alias(stored[c.lower()].name) if c.lower() in stored else F.col(c)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,15 @@ def conform(trips: DataFrame, declared: T.StructType = BRONZE_TRIPS) -> DataFram
     missing = [f.name for f in declared if f.name.lower() not in by_name]
     if missing:
         raise ValueError(f"trip file lacks the columns {missing}")
-    core = [F.col(by_name[f.name.lower()]).cast(f.dataType).alias(f.name) for f in declared]
+    floating = {c.lower() for c, kind in trips.dtypes if kind in ("float", "double")}
+
+    def cast(f: T.StructField) -> Column:
+        found = F.col(by_name[f.name.lower()])
+        if f.name.lower() in floating and isinstance(f.dataType, T.IntegralType):
+            found = F.when(~F.isnan(found), found)  # NaN stands for a missing number; any other overflow is an error
+        return found.cast(f.dataType).alias(f.name)
+
+    core = [cast(f) for f in declared]
     taken = {f.name.lower() for f in declared}
     return trips.select(*core, *[F.col(c) for c in trips.columns if c.lower() not in taken])
 

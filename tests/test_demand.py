@@ -13,19 +13,19 @@ from kerbside.settings import GOLD_TABLES, Period
 BOROUGHS = [(1, "Queens"), (2, "Bronx"), (3, "Unknown"), (4, "N/A"), (5, "EWR"), (6, None), (7, "unknown")]
 
 
-def test_hourly_demand_counts_and_sorts(silver):
+def test_hourly_demand_counts(silver):
     trips = silver({"pickup": "2025-03-01 23:10:00"}, {}, {"pickup": "2025-07-09 10:59:59.9"}, {"pickup": None})
-    assert rows(demand.hourly_demand(trips)) == [(10, 2), (23, 1)]
+    assert sorted(rows(demand.hourly_demand(trips))) == [(10, 2), (23, 1)]
 
 
 def test_borough_exclusions_are_case_sensitive(silver, lookup):
     trips = silver(*[{"pu": n} for n in (1, 1, 2, 3, 4, 5, 6, 7, 99, None)])
-    assert rows(demand.demand_by_borough(trips, lookup(*BOROUGHS))) == [("Queens", 2), ("Bronx", 1), ("unknown", 1)]
+    assert sorted(rows(demand.demand_by_borough(trips, lookup(*BOROUGHS)))) == [("Bronx", 1), ("Queens", 2), ("unknown", 1)]
 
 
 def test_routes_need_both_ends(silver, lookup):
     trips = silver({}, {}, {"pu": 2, "do": 1}, {"pu": 1, "do": 3}, {"pu": 6, "do": 1}, {"do": None}, {"pu": 5, "do": 5})
-    assert rows(demand.popular_routes(trips, lookup(*BOROUGHS))) == [("Queens", "Bronx", 2), ("Bronx", "Queens", 1)]
+    assert sorted(rows(demand.popular_routes(trips, lookup(*BOROUGHS)))) == [("Bronx", "Queens", 1), ("Queens", "Bronx", 2)]
 
 
 def test_monthly_averages(silver):
@@ -35,23 +35,23 @@ def test_monthly_averages(silver):
         {"seconds": 120, "miles": 0.3, "passengers": 4},
         {"pickup": "2025-04-01 00:00:00", "passengers": 0},
     )
-    assert rows(demand.avg_duration(trips)) == [(3, 1.5), (4, 10.0)]
-    assert rows(demand.avg_distance(trips)) == [(3, 0.6 / 3), (4, 2.5)]
+    assert sorted(rows(demand.avg_duration(trips))) == [(3, 1.5), (4, 10.0)]
+    assert sorted(rows(demand.avg_distance(trips))) == [(3, 0.6 / 3), (4, 2.5)]
     assert rows(demand.avg_passengers(trips)) == [(3, 2.5)]
 
 
 def test_average_distance_does_not_depend_on_partitioning(spark):
     trips = cleaning.clean_trips(fixture.bronze_trips(spark, "/root/testdata/sf0.01"))
-    answers = {tuple(rows(demand.avg_distance(trips.repartition(n)))) for n in (1, 7, 16)}
+    answers = {tuple(sorted(rows(demand.avg_distance(trips.repartition(n))))) for n in (1, 7, 16)}
     assert len(answers) == 1
 
 
 def test_years_do_not_mix_when_asked(silver):
     trips = silver({"seconds": 60}, {"pickup": "2026-03-01 10:00:00", "seconds": 120})
-    assert rows(demand.avg_duration(trips)) == [(3, 1.5)]
-    assert rows(demand.avg_duration(trips, by_year=True)) == [(2025, 3, 1.0), (2026, 3, 2.0)]
+    assert sorted(rows(demand.avg_duration(trips))) == [(3, 1.5)]
+    assert sorted(rows(demand.avg_duration(trips, by_year=True))) == [(2025, 3, 1.0), (2026, 3, 2.0)]
     by_year = demand.gold_from_rollup(demand.activity_rollup(trips, by_year=True), _no_zones(trips.sparkSession))
-    assert rows(by_year["avg_duration"]) == [(2025, 3, 1.0), (2026, 3, 2.0)]
+    assert sorted(rows(by_year["avg_duration"])) == [(2025, 3, 1.0), (2026, 3, 2.0)]
     assert Period(date(2025, 3, 1), date(2026, 4, 1)).several_years and not Period().several_years
 
 
@@ -75,7 +75,7 @@ def test_rollup_equals_the_direct_form(spark, scale):
         "avg_passengers": demand.avg_passengers(trips),
     }
     for name, table in direct.items():
-        assert rows(table) == rows(rolled[name]), name
+        assert sorted(rows(table)) == sorted(rows(rolled[name])), name
     spark.catalog.clearCache()
 
 
@@ -117,3 +117,17 @@ def test_totals_per_table(spark):
     assert rows(demand.hourly_demand(trips).agg(total)) == [(7525,)]
     assert rows(demand.demand_by_borough(trips, lookup).agg(total)) == [(6137,)]
     assert rows(demand.popular_routes(trips, lookup).agg(total)) == [(4989,)]
+
+
+def test_nulls_and_fine_distances_count_alike_in_both_forms(silver, lookup):
+    trips = silver({"miles": 2.0, "seconds": 600}, {"miles": None, "seconds": 600}, {"miles": 0.00041, "seconds": None})
+    rolled = demand.gold_from_rollup(demand.activity_rollup(trips), lookup(*BOROUGHS))
+    assert rows(rolled["avg_distance"]) == rows(demand.avg_distance(trips)) == [(3, 2.00041 / 2)]
+    assert rows(rolled["avg_duration"]) == rows(demand.avg_duration(trips)) == [(3, 10.0)]
+
+
+def test_a_distance_that_is_no_number_shows_in_the_average(silver, lookup):
+    trips = silver({"miles": 2.0}, {"miles": float("nan")})
+    rolled = demand.gold_from_rollup(demand.activity_rollup(trips), lookup(*BOROUGHS))
+    for table in (rolled["avg_distance"], demand.avg_distance(trips)):
+        assert str(rows(table)[0][1]) == "nan"

@@ -45,7 +45,7 @@ def test_the_session_zone_changes_nothing(spark, connection, name):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_column_types_match_the_oracle(spark, connection, name):
-    shown = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+    shown = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DECIMAL(38,9)": "decimal(38,9)"}
     answer = connection.execute(ORACLE[name])
     wanted = {c[0]: shown[str(c[1])] for c in answer.description}
     assert dict(QUERIES[name](spark, SF).dtypes) == wanted

@@ -1,11 +1,6 @@
 from __future__ import annotations
 
-from types import SimpleNamespace
-
-import pytest
-from conftest import rows
-
-from kerbside.session import BASE_CONF, CLUSTER_CONF, cut_lineage, object_store_conf
+from kerbside.session import BASE_CONF, CLUSTER_CONF, object_store_conf, size_shuffles
 
 
 def test_object_store_settings():
@@ -25,17 +20,12 @@ def test_settings_are_known_to_spark(spark):
         assert spark.conf.get(key) is not None
 
 
-def test_lineage_is_cut_in_the_named_folder(spark):
-    frame = spark.range(10).selectExpr("id % 3 AS k").groupBy("k").count()
-    cut = cut_lineage(frame)
-    assert sorted(rows(cut)) == sorted(rows(frame))
-    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
-    named = spark.conf.get("spark.checkpoint.dir")
-    assert named in spark.sparkContext.getCheckpointDir()
-
-
-def test_a_cluster_without_a_shared_folder_is_refused():
-    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
-    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        cut_lineage(SimpleNamespace(sparkSession=session))
+def test_shuffles_follow_the_size_of_the_table(spark, tmp_path):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.range(100_000).write.parquet(str(tmp_path / "table"))
+    try:
+        assert size_shuffles(spark, str(tmp_path / "table"), partition_bytes=4096) > 50
+        assert int(spark.conf.get(key)) > 50
+        assert size_shuffles(spark, str(tmp_path / "none")) == 8
+    finally:
+        spark.conf.unset(key)
