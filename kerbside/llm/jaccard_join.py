@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.components import components
-from kerbside.llm.tables import few_or_shuffled, id_and_bytes, stored
+from kerbside.llm.tables import few_or_shuffled, forget, id_and_bytes, stored
 from kerbside.llm.words import shingle_set
 
 # Fixed: links need 100 * shared >= 80 * united.
@@ -155,7 +155,9 @@ def candidate_sets(docs: DataFrame, sets: DataFrame, profile: DataFrame) -> Data
                 )
 
     texts = docs.join(few_or_shuffled(able, BROADCAST_ROWS), "doc_id").select("doc_id", "text", "high")
-    return stored(texts.mapInArrow(listed, "node bigint, n bigint, s array<bigint>"), "sets")
+    found = stored(texts.mapInArrow(listed, "node bigint, n bigint, s array<bigint>"), "sets")
+    forget(able)
+    return found
 
 
 def rarest_first(sets: DataFrame) -> DataFrame:
@@ -281,12 +283,15 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     profile = stored(profiles(own, parts), "profiles")
-    rows = profile.filter("part = -1").select("doc_id", "n", "high", "low")
+    rows = stored(profile.filter("part = -1").select("doc_id", "n", "high", "low"), "rows")
     sets = rows.filter("n > 0").groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"))
     listed = candidate_sets(own, sets, profile)
-    near, linked = links_to_pivots(stored(rarest_first(listed), "entries"), listed)
+    forget(profile)
+    entries = stored(rarest_first(listed), "entries")
+    near, linked = links_to_pivots(entries, listed)
     regions, parts_now = components(near, "regions"), components(linked, "parts")
     more = stored(links_within_regions(listed, regions, parts_now), "more")
+    forget(listed, entries)
     whole = components(linked.union(more), "components")
     classes = stored(whole.select(F.col("node").alias("of_node"), "component"), "classes")
     named = sets.join(few_or_shuffled(classes, BROADCAST_ROWS), F.col("node") == F.col("of_node"), "left").select(

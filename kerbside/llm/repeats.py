@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.bwt import repeated_starts
-from kerbside.llm.tables import few_or_shuffled, id_and_bytes, stored
+from kerbside.llm.tables import few_or_shuffled, forget, id_and_bytes, stored
 from kerbside.llm.words import mixed
 
 LEAST, ANCHOR = 200, 50
@@ -104,7 +104,9 @@ def text_runs(docs: DataFrame, least: int) -> DataFrame:
     grouped = rows.groupBy("node", "n_bytes").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.first(zipped).alias("runs")
     )
-    return stored(grouped, "texts")
+    texts = stored(grouped, "texts")
+    forget(rows)
+    return texts
 
 
 def shared_contexts(docs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
@@ -148,7 +150,9 @@ def shared_contexts(docs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     joined = wanted.join(first, (F.col("node") == F.col("of_node")) & F.col("doc_id").eqNullSafe(F.col("of_doc")))
     joined = joined.select("node", "text", "copies", "hits")
     schema = "anchor bigint, mark bigint, node bigint, start int, size int, at int, weight bigint, context binary"
-    return stored(joined.mapInArrow(cut, schema), "contexts")
+    found = stored(joined.mapInArrow(cut, schema), "contexts")
+    forget(hits)
+    return found
 
 
 def _reach(sides: list[bytes], groups: list[bytes], width: int) -> np.ndarray:
@@ -229,7 +233,7 @@ def hot_repeats(contexts: DataFrame, least: int) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, texts: DataFrame, least: int, hot: int = HOT_CONTEXTS) -> DataFrame:
-    """(node, begin, end): byte ranges of texts with a single copy that lie in repeated strings."""
+    """(node, begin, end): byte ranges of texts with a single copy that lie in repeated strings. A stored table."""
     found = shared_contexts(docs, texts, least)
     distinct = stored(
         found.groupBy("anchor", "mark").agg(F.sum("weight").alias("weight"), F.first("at").alias("at"), F.max("size").alias("size"), F.first("context", True).alias("context")),
@@ -252,7 +256,10 @@ def repeated_ranges(docs: DataFrame, texts: DataFrame, least: int, hot: int = HO
     ranges = ranges.groupBy("anchor", "mark").agg(F.collect_set(F.struct("begin", "end")).alias("ranges"))
     single = found.filter("weight = 1").select("anchor", "mark", "node", "start")
     placed = single.join(ranges, ["anchor", "mark"]).select("node", "start", F.explode("ranges").alias("r"))
-    return placed.select("node", (F.col("start") + F.col("r.begin")).alias("begin"), (F.col("start") + F.col("r.end")).alias("end"))
+    spots = placed.select("node", (F.col("start") + F.col("r.begin")).alias("begin"), (F.col("start") + F.col("r.end")).alias("end"))
+    spots = stored(spots, "spots")
+    forget(found, distinct)
+    return spots
 
 
 def with_spans(docs: DataFrame, least: int = LEAST, hot: int = HOT_CONTEXTS) -> DataFrame:
@@ -269,6 +276,7 @@ def with_spans(docs: DataFrame, least: int = LEAST, hot: int = HOT_CONTEXTS) ->
     whole = copied.select("node", F.lit(0).alias("begin"), F.col("n_bytes").cast("int").alias("end"))
     cuts = single.union(whole).groupBy("node").agg(F.collect_set(F.struct("begin", "end")).alias("repeat_spans"))
     cuts = stored(cuts.withColumnRenamed("node", "repeat_node"), "cuts")
+    forget(texts, single)
     nodes = few_or_shuffled(stored(cuts.select("repeat_node"), "cut_nodes"), BROADCAST_ROWS)
     cut = keyed.join(nodes, "repeat_node", "left_semi").join(cuts, "repeat_node")
     left = keyed.join(nodes, "repeat_node", "left_anti").withColumn("repeat_spans", F.lit(None).cast(cuts.schema["repeat_spans"].dataType))

@@ -19,13 +19,22 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame as written to the shared folder and read back: the lineage is cut, and no work is done twice.
 
-    The files outlive the query, as those of ``checkpoint()`` do; whoever owns the folder empties it.
+    Files that a result reads outlive the query, as those of ``checkpoint()`` do; whoever owns the folder empties it.
     """
     path = f"{shared_folder(frame.sparkSession)}/kerbside-{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete the files of stored frames from which everything that is still needed has been stored in turn."""
+    for frame in frames:
+        jvm, conf = frame.sparkSession._jvm, frame.sparkSession._jsc.hadoopConfiguration()
+        for folder in {path.rpartition("/")[0] for path in frame.inputFiles()}:
+            target = jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def few_or_shuffled(frame: DataFrame, most_rows: int) -> DataFrame:
     """A broadcast hint for a stored frame that has few rows; a larger one is left to a shuffled join."""
     return F.broadcast(frame) if frame.limit(most_rows + 1).count() <= most_rows else frame
