@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import decontamination, html_text, jaccard_join, licenses, packing, quality_rules, repeats, token_counts, toxicity, wavelet
+from kerbside.llm import decontamination, html_text, jaccard_join, licenses, oracle, packing, quality_rules, repeats, token_counts, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,7 +41,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.contamination(_documents(spark, sf_dir), benchmark)
+    return decontamination.contamination(_documents(spark, sf_dir), benchmark).drop("items")
 
 
 def op7_token_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +68,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_token_counts": op9_token_counts,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_jaccard_join": oracle.JACCARD_JOIN,
+    "op6_benchmark_decontamination": oracle.DECONTAMINATION,
+}

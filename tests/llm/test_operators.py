@@ -5,6 +5,7 @@ import random
 import struct
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from conftest import rows
@@ -21,6 +22,7 @@ from kerbside.llm import (
     licenses,
     packing,
     quality_rules,
+    registry,
     repeats,
     token_counts,
     tokens,
@@ -365,3 +367,13 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     clean = {d for d, *_, bad in brute.contaminated([(d, answer[d].text) for d in after], items) if not bad}
     packed = {r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()}
     assert packed == clean
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
+def test_queries_match_their_sql(spark, name):
+    twin = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        twin.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    answer = registry.QUERIES[name](spark, SF)
+    wanted = twin.execute(f"SELECT {', '.join(answer.columns)} FROM ({registry.ORACLE[name]})").fetchall()
+    assert sorted(rows(answer)) == sorted(wanted) and wanted
