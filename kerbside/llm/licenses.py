@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,7 +75,8 @@ class Templates:
 
     def __init__(self, texts: dict[str, str]):
         self.names = [n for n, t in texts.items() if len(contract_words(t.encode())) >= SHINGLE]
-        self.sets = [np.unique(shingles(word_hashes(contract_words(texts[n].encode())), SHINGLE)) for n in self.names]
+        runs = [shingles(word_hashes(contract_words(texts[n].encode())), SHINGLE) for n in self.names]
+        self.sets, self.times = [np.unique(r) for r in runs], [Counter(r.tolist()) for r in runs]
         self.keys = mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
         self.sizes: dict[int, list[int]] = {}
         for k, own in enumerate(self.sets):
@@ -120,13 +122,14 @@ class Templates:
         at = begin + np.flatnonzero(np.isin(own[begin:end], template))
         while len(at):
             span = at[at < at[0] + 2 * len(template)]
-            # A copy ends before its shingles begin to repeat.
-            values, first = np.unique(own[span], return_index=True)
-            again = np.setdiff1d(np.arange(len(span)), first)
-            if len(again) and len(values) >= CONTAINED * len(template):
-                cut = int(again[0])
-                if len(np.unique(own[span[:cut]])) >= CONTAINED * len(template):
-                    span = span[:cut]
+            # A copy ends before a shingle comes more often than the template has it, if that leaves enough of it.
+            seen: Counter = Counter()
+            for nth, value in enumerate(own[span].tolist()):
+                seen[value] += 1
+                if seen[value] > self.times[t][value]:
+                    if len(seen) >= CONTAINED * len(template):
+                        span = span[:nth]
+                    break
             share = len(np.unique(own[span])) / len(template)
             if share >= CONTAINED:
                 yield self.names[t], int(span[0]), int(span[-1]) + SHINGLE, share
