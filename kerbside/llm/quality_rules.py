@@ -155,6 +155,9 @@ def judged(measured: DataFrame) -> DataFrame:
 
 
 def documents_kept(docs: DataFrame) -> DataFrame:
-    """The rows and columns of ``docs`` that the rules keep."""
-    measured = with_text_measures(docs).select("*", *[v.alias(k) for k, v in votes().items()])
+    """The rows and columns of ``docs`` that the rules keep.
+
+    Measures are stored beside the rows: derived again in the filter they would be planned many times over.
+    """
+    measured = stored(with_text_measures(docs).select("*", *[v.alias(k) for k, v in votes().items()]), "measured")
     return judged(measured).filter("kept").select("row.*")
