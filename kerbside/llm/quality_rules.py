@@ -1,5 +1,5 @@
-"""Quality by weak supervision: rules vote or abstain, expectation-maximisation estimates how far each can be trusted, and the
-posterior probability of good quality decides. Built-in column functions only.
+"""Quality by weak supervision: rules vote or abstain on an aspect of quality, expectation-maximisation estimates how far each
+can be trusted, and the posterior probability of being good in every aspect decides. Built-in column functions only.
 
 What leaves the cluster are counts of vote patterns: at most 3 ** rules rows, whatever the number of documents.
 """
@@ -16,6 +16,13 @@ from kerbside.llm.tables import stored
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 ROUNDS = 100
+# Rules of one aspect depend on each other: they see the same fault.
+ASPECTS = (
+    ("vote_length", "vote_lines", "vote_repeats"),
+    ("vote_word_size", "vote_digits"),
+    ("vote_symbols",),
+    ("vote_sentences",),
+)
 
 
 def _once(value: Column, body) -> Column:
@@ -101,31 +108,57 @@ def votes() -> dict[str, Column]:
 
 
 def estimated(patterns: list[tuple[tuple[int, ...], int]], rules: int) -> tuple[float, list[dict[int, float]]]:
-    """(log-odds of good quality, per rule the log-likelihood ratio of each vote) by expectation-maximisation.
+    """(log-odds of good quality, per rule the log-likelihood ratio of each vote) if all rules judge one aspect."""
+    priors, ratios = estimated_by_aspect(patterns, [list(range(rules))])
+    return priors[0], ratios
 
-    Starts from rules that are right four times out of five. One vote of that kind is added to what was seen, so that no
-    likelihood becomes zero. No patterns: the start.
+
+def estimated_by_aspect(
+    patterns: list[tuple[tuple[int, ...], int]], aspects: list[list[int]]
+) -> tuple[list[float], list[dict[int, float]]]:
+    """(per aspect the log-odds of good against bad in that aspect, per rule the log-likelihood ratio of each vote) by
+    expectation-maximisation; ``aspects`` holds the places of each aspect's rules.
+
+    A document is good or bad in one aspect. The rules of other aspects vote on it as on a good one, so that one decisive vote
+    is not outweighed by good votes on other matters. Starts from rules that are right four times out of five. One vote of
+    that kind is added to what was seen, so that no likelihood becomes zero. No rule gets worse than chance: a vote that would
+    speak for the other side says nothing. No patterns: the start.
     """
-    prior = 0.8
     start = {1: {1: 0.8, -1: 0.1, 0: 0.1}, 0: {1: 0.1, -1: 0.8, 0: 0.1}}
-    given = [{k: dict(start[k]) for k in (1, 0)} for _ in range(rules)]
+    aspect_of = {j: a for a, own in enumerate(aspects) for j in own}
+    rules = len(aspect_of)
+    ratios = [{v: math.log(start[1][v] / start[0][v]) for v in (1, -1, 0)} for _ in range(rules)]
+    shares = [0.8] + [0.2 / len(aspects)] * len(aspects)
     total = sum(n for _, n in patterns)
     for _ in range(ROUNDS if total else 0):
         soft = [{k: {v: start[k][v] for v in (1, -1, 0)} for k in (1, 0)} for _ in range(rules)]
-        good = 1.0
+        sums = [1.0] + [1.0 / len(aspects)] * len(aspects)
         for cast, n in patterns:
-            odds = math.log(prior / (1 - prior))
-            odds += sum(math.log(given[j][1][v] / given[j][0][v]) for j, v in enumerate(cast))
-            p = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
-            good += n * p
+            odds = [math.log(shares[0] / shares[a + 1]) + sum(ratios[j][cast[j]] for j in own) for a, own in enumerate(aspects)]
+            parts = [1.0] + [math.exp(-max(-500.0, min(500.0, o))) for o in odds]
+            whole = sum(parts)
+            for k, part in enumerate(parts):
+                sums[k] += n * part / whole
             for j, v in enumerate(cast):
-                soft[j][1][v] += n * p
-                soft[j][0][v] += n * (1 - p)
-        prior = good / (total + 2)
-        given = [{k: {v: s[k][v] / sum(s[k].values()) for v in (1, -1, 0)} for k in (1, 0)} for s in soft]
-    return math.log(prior / (1 - prior)), [
-        {v: math.log(g[1][v] / g[0][v]) for v in (1, -1, 0)} for g in given
-    ]
+                bad = n * parts[aspect_of[j] + 1] / whole
+                soft[j][1][v] += n - bad
+                soft[j][0][v] += bad
+        shares = [s / (total + 2) for s in sums]
+        ratios = [{v: math.log(g[1][v] / g[0][v]) for v in (1, -1, 0)} for g in map(_better_than_chance, soft)]
+    return [math.log(shares[0] / s) for s in shares[1:]], ratios
+
+
+def _better_than_chance(seen: dict[int, dict[int, float]]) -> dict[int, dict[int, float]]:
+    """Vote probabilities under good (1) and bad (0) quality; a vote that is likelier on the other side is as likely on both."""
+    sums = {k: sum(seen[k].values()) for k in (1, 0)}
+    given = {k: {v: seen[k][v] / sums[k] for v in (1, -1, 0)} for k in (1, 0)}
+    for v, side in ((1, 1), (-1, 0)):
+        if given[side][v] < given[1 - side][v]:
+            both = (seen[1][v] + seen[0][v]) / (sums[1] + sums[0])
+            for k in (1, 0):
+                rest = (1 - both) / (1 - given[k][v])
+                given[k] = {u: both if u == v else given[k][u] * rest for u in (1, -1, 0)}
+    return given
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -145,12 +178,17 @@ def judged(measured: DataFrame) -> DataFrame:
     """Measures and votes with ``base_failed``, ``quality_probability`` and ``kept``; the rules' accuracies come from all rows."""
     ballots = list(votes())
     counts = measured.groupBy(*ballots).agg(F.count("*").alias("n")).collect()
-    prior, ratios = estimated(sorted((tuple(r[k] for k in ballots), r["n"]) for r in counts), len(ballots))
-    odds = F.lit(prior)
-    for name, ratio in zip(ballots, ratios):
-        odds = odds + F.when(F.col(name) == 1, ratio[1]).when(F.col(name) == -1, ratio[-1]).otherwise(ratio[0])
+    aspects = [[ballots.index(name) for name in own] for own in ASPECTS]
+    priors, ratios = estimated_by_aspect(sorted((tuple(r[k] for k in ballots), r["n"]) for r in counts), aspects)
+    against = F.lit(0.0)
+    for prior, own in zip(priors, aspects):
+        odds = F.lit(prior)
+        for j in own:
+            vote, ratio = F.col(ballots[j]), ratios[j]
+            odds = odds + F.when(vote == 1, ratio[1]).when(vote == -1, ratio[-1]).otherwise(ratio[0])
+        against = against + F.exp(-odds)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    scored = measured.withColumn("base_failed", failed).withColumn("quality_probability", 1 / (1 + F.exp(-odds)))
+    scored = measured.withColumn("base_failed", failed).withColumn("quality_probability", 1 / (1 + against))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality_probability") >= 0.5))
 
 

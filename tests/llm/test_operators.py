@@ -219,6 +219,25 @@ def test_expectation_maximisation_finds_who_can_be_trusted():
         assert ratio[1] == pytest.approx(math.log(a / (1 - a)), abs=0.35) and abs(ratio[0]) < 0.2
 
 
+def test_no_rule_gets_worse_than_chance():
+    """A rule whose bad votes never meet those of the rules that agree among themselves is no sign of good quality."""
+    patterns = [((1, 1, 1), 9000), ((1, 1, -1), 700), ((-1, -1, 1), 800), ((-1, 1, 1), 60), ((1, -1, 1), 60)]
+    _, ratios = quality_rules.estimated(sorted(patterns), 3)
+    assert all(r[-1] <= 1e-9 and r[1] >= -1e-9 for r in ratios)
+    priors, ratios = quality_rules.estimated_by_aspect(sorted(patterns), [[0, 1], [2]])
+    assert all(r[-1] <= 1e-9 and r[1] >= -1e-9 for r in ratios)
+    assert priors[1] + ratios[2][-1] < 0 < priors[1] + ratios[2][1]
+
+
+def test_kept_agrees_with_labelled_quality(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    judged = quality_rules.quality_rules(spark.read.parquet(f"{sf}/documents.parquet")).join(labels, "doc_id")
+    pairs = rows(judged.filter("NOT base_failed AND quality IS NOT NULL").select("kept", "quality"))
+    good, bad = [k for k, q in pairs if q == 1], [k for k, q in pairs if q == 0]
+    assert len(bad) >= 10 and sum(bad) <= 0.1 * len(bad) and sum(good) >= 0.95 * len(good)
+
+
 def test_wavelet_matrix_answers_from_its_planes():
     ids = np.random.default_rng(9).integers(0, 37, 3000).astype(np.uint16)
     matrix = wavelet.WaveletMatrix.of(ids, 6)
