@@ -337,6 +337,28 @@ def test_layout():
     assert html_text.visible_text(page).split("\n") == lines
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<body><p>a</p><svg id="c"/><p>rest', "a\n\nrest"),
+        ("<p>a<math/>b", "ab"),
+        ("<svg><path><g/><g><p>out</p>x", "out\n\nx"),
+        ("<svg><g/><text>no</text></svg>yes", "yes"),
+        ("<tr><td>x</td><td>y</td></tr>", "x  y"),
+        ("<tbody><tr><td>x", "x"),
+        ("<p>a<tr><td>x<td>y</tr>text", "a\nx  y\ntext"),
+        ("Pick <select><option>A<option label=L>B<optgroup label=G><option>C</select> then", "Pick\nA\nL\nG\nC\nthen"),
+        ("Say <textarea>\nt <b>x</b>\n y &amp;</textarea>z", "Say t <b>x</b>\n y &z"),
+        ("<textarea>t <p>never closed", "t <p>never closed"),
+        ("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>", "A  B\n   C"),
+        ("<tbody><tr><td rowspan=0>A<td>B<tr><td>C<tbody><tr><td>D", "A  B\n   C\nD"),
+        ("<table><tr><td colspan=2 rowspan=2>A<td>B<tr><td>C<tr><td>1<td>2<td>3</table>", "A     B\n      C\n1  2  3"),
+    ],
+)
+def test_no_visible_text_is_lost(page, text):
+    assert html_text.visible_text(page) == text
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "</p></p>", "<table><td>x", "<li>a<li>b", "<b>" * 5000 + "x", "<div>" * 5000, "<!-- x", "&#xD800; &bogus;"])
 def test_broken_pages_are_laid_out(page):
     assert isinstance(html_text.visible_text(page), str)
