@@ -122,6 +122,8 @@ class WaveletMatrix:
 
 def packed_shard(shard: int, docs: list[int], parts: list[bytes], bits: int) -> pa.RecordBatch:
     joined = np.frombuffer(b"".join(parts), np.uint32)
+    if len(joined) and int(joined.max()) >> bits:
+        raise ValueError(f"id {joined.max()} needs more than {bits} bits")
     matrix = WaveletMatrix.of(joined.astype(np.uint16) if bits <= 16 else joined, bits)
     press = zstandard.ZstdCompressor(level=1).compress
     columns = [
@@ -143,11 +145,12 @@ def opened_shard(row: dict) -> WaveletMatrix:
     return WaveletMatrix(row["n_tokens"], row["zeros"], planes, [np.frombuffer(open_(x), np.uint32) for x in row["ranks"]])
 
 
-def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 2, bits: int = 16, most: int = SHARD_IDS) -> None:
+def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 2, bits: int | None = None, most: int = SHARD_IDS) -> None:
     """Encodes every whole text, adds the end id, and writes shards in ascending doc_id order: a file per partition, a row
     per shard. A document is never parted; one with more ids than ``most`` is a shard of its own.
 
-    Rows without a doc_id come first; rows with equal doc_ids are ordered by their texts. A null text is its end id alone.
+    ``bits`` of an id are as many as the vocabulary and the end id need, unless given; an id that needs more is an error. Rows
+    without a doc_id come first; rows with equal doc_ids are ordered by their texts. A null text is its end id alone.
     """
     path, end = path or public_path("word_bpe_49k.json"), np.uint32(end_id).tobytes()
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -159,18 +162,19 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
         from pyspark import TaskContext
 
         encoder, base, nth = word_encoder(path), TaskContext.get().partitionId() << 32, 0
+        planes = bits or max(end_id, *encoder.tokenizer.get_vocab().values()).bit_length()
         held, parts, size = [], [], 0
         for ids, texts in id_and_bytes(batches):
             for doc, text in zip(ids, texts):
                 part = ids_of_words(encoder, text) + end
                 if parts and size + len(part) // 4 > most:
-                    yield packed_shard(base + nth, held, parts, bits)
+                    yield packed_shard(base + nth, held, parts, planes)
                     held, parts, size, nth = [], [], 0, nth + 1
                 held.append(doc)
                 parts.append(part)
                 size += len(part) // 4
         if parts:
-            yield packed_shard(base + nth, held, parts, bits)
+            yield packed_shard(base + nth, held, parts, planes)
 
     ordered = sorted_docs.select("doc_id", "text").mapInArrow(packed, SCHEMA)
     ordered.write.option("compression", "none").parquet(folder)

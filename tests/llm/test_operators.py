@@ -266,6 +266,20 @@ def test_shards_round_trip(spark, corpus, nothing, tmp_path):
     assert wavelet.written_and_read(nothing).count() == 0
 
 
+def test_shards_keep_ids_of_more_than_sixteen_bits(spark, corpus, tmp_path):
+    docs, frame = corpus
+    library, wanted = Tokenizer.from_file(tokens.public_path("word_bpe_49k.json")), []
+    for doc, text in docs:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 70_000]
+        wanted.append((doc, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+    wavelet.write_shards(frame, str(tmp_path / "wide"), end_id=70_000)
+    shards = spark.read.schema(wavelet.SCHEMA).parquet(str(tmp_path / "wide"))
+    assert found(wavelet.read_documents(shards), "doc_id", "n_tokens", "ids_crc32") == sorted(wanted, key=repr)
+    assert {len(r.planes) for r in shards.collect()} == {17}
+    with pytest.raises(ValueError):
+        wavelet.packed_shard(0, [1], [np.uint32(70_000).tobytes()], 16)
+
+
 def test_packing_places_every_piece_once(corpus, nothing):
     docs, frame = corpus
     library, wanted = Tokenizer.from_file(tokens.public_path("word_bpe_49k.json")), []
