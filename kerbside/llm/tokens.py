@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 # Pieces that one worker remembers; at about 200 bytes each this bounds its memory.
 CACHED_PIECES = 700_000
+CACHED_BYTES = 64
 # Pieces of ASCII and Latin-1 letters, digits and ASCII signs but the apostrophe: normalisation leaves them as they are, and
 # split patterns part them into runs of letters, of digits and of signs.
 PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]*")
@@ -37,14 +38,15 @@ def byte_letters() -> dict[int, str]:
 class Encoder(dict):
     """A cache from pieces (bytes) to values made of their ids; ``before`` stands before every piece.
 
-    ``frequent`` holds values that are never forgotten. The cache starts anew when it is full.
+    ``cased`` tells whether the tokenizer keeps capital letters. ``frequent`` holds values that are never forgotten. The cache
+    starts anew when it is full; pieces of more than ``CACHED_BYTES`` are not kept.
     """
 
     def __init__(
         self,
         path: str,
         value: Callable[[list], bytes | int],
-        runs: re.Pattern,
+        cased: bool,
         before: str = "",
         frequent: dict[bytes, int] | None = None,
     ):
@@ -53,7 +55,7 @@ class Encoder(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merged = self.tokenizer.model.tokenize
-        self.value, self.runs, self.before = value, runs, before
+        self.value, self.cased, self.before = value, cased, before
         self.letters = byte_letters()
         self.frequent = frequent or {}
         self.update(self.frequent)
@@ -66,13 +68,14 @@ class Encoder(dict):
             self.clear()
             self.update(self.frequent)
         text = piece.decode()
-        if not piece or not PLAIN.fullmatch(text):
+        if not piece or b"<|" in piece or not PLAIN.fullmatch(text):
             done = self.whole(self.before + text)
         else:
-            runs = self.runs.findall(text if self.runs is CASED_RUNS else text.lower())
+            runs = CASED_RUNS.findall(text) if self.cased else LOWER_RUNS.findall(text.lower())
             runs[0] = self.before + runs[0]
             done = self.value([t for run in runs for t in self.merged(run.encode().decode("latin-1").translate(self.letters))])
-        self[piece] = done
+        if len(piece) <= CACHED_BYTES:
+            self[piece] = done
         return done
 
 
@@ -88,14 +91,25 @@ def ids_of_words(encoder: Encoder, text: bytes) -> bytes:
     return b"".join(map(encoder.__getitem__, text.lower().split()))
 
 
-def count_of_spaced(encoder: Encoder, text: bytes) -> int:
-    """Number of ids by a byte-level tokenizer that ties one space to the word after it.
+# Before one space alone, and before several that follow a sign or letter of ASCII.
+_CUTS = re.compile(rb"(?<! )(?= (?! ))|(?<=[!-~])(?=  )")
+
 
-    A cut before a single space is certain; a text with two spaces in a row or with a special string goes whole.
+def spaced_pieces(text: bytes) -> list[bytes]:
+    """The text in pieces: the first as it is, the others without the one space that each begins with.
+
+    A byte-level tokenizer that ties one space to the word after it cuts at all these places, whatever stands around them;
+    runs of spaces stay whole. Special strings have no space, so they stay whole too.
     """
-    if b"  " in text or b"<|" in text:
-        return encoder.whole(text.decode())
-    pieces = text.split(b" ")
+    if b"  " not in text:
+        return text.split(b" ")
+    first, *others = _CUTS.split(text)
+    return [first, *[x[1:] for x in others]]
+
+
+def count_of_spaced(encoder: Encoder, text: bytes) -> int:
+    """Number of ids by a byte-level tokenizer that ties one space to the word after it."""
+    pieces = spaced_pieces(text)
     return encoder.whole(pieces[0].decode()) + sum(map(encoder.__getitem__, pieces[1:]))
 
 
@@ -105,5 +119,5 @@ _ENCODERS: dict[str, Encoder] = {}
 def word_encoder(path: str) -> Encoder:
     """This worker's encoder to ids as bytes."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path, ids_as_bytes, LOWER_RUNS)
+        _ENCODERS[path] = Encoder(path, ids_as_bytes, cased=False)
     return _ENCODERS[path]

@@ -81,16 +81,20 @@ def found(frame, *columns):
 
 def test_pieces_give_the_ids_of_whole_texts():
     word = tokens.word_encoder(tokens.public_path("word_bpe_49k.json"))
-    spaced = tokens.Encoder(tokens.public_path("byte_bpe_50k.json"), len, tokens.CASED_RUNS, " ")
-    rnd, letters = random.Random(2), [*"ab c'sllÉßİΣς12½ \n\t\r\x0b\x1c\x85\xa0　̧ﬁ漢!?.,-_#|<>ªµ", "<|endoftext|>", "  ", "'ll"]
+    spaced = tokens.Encoder(tokens.public_path("byte_bpe_50k.json"), len, cased=True, before=" ")
+    rnd, letters = random.Random(2), [*"abUSA c'sllÉßİΣς12½ \n\t\r\x0b\x1c\x85\xa0　̧ﬁ漢!?.,-_#|<>ªµ", "<|endoftext|>", "  ", "'ll"]
     for _ in range(3000):
         text = "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 30)))
         assert tokens.ids_of_words(word, text.encode()) == word.whole(text)
         assert tokens.count_of_spaced(spaced, text.encode()) == spaced.whole(text)
 
 
-def test_token_counts(corpus, nothing):
-    docs, frame = corpus
+@pytest.mark.parametrize("places", [65_536, 3, 0])
+def test_token_counts(spark, corpus, nothing, monkeypatch, places):
+    """The table of frequent pieces changes no count, whether it holds all pieces, three or none."""
+    monkeypatch.setattr(token_counts, "FREQUENT_PIECES", places)
+    docs = [*corpus[0], (900, "The USA, NASA and McDonald's ÉCOLE 12KB X  Y   Z\n  A\t B"), (901, "A" * 5000 + " B" * 3000), (902, " A  <|endoftext|>  B")]
+    frame = spark.createDataFrame(docs, SCHEMA).repartition(5)
     library = Tokenizer.from_file(tokens.public_path("byte_bpe_50k.json"))
     counts = [(d, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for d, t in docs]
     wanted = sorted(((*c, c[2] > 1024) for c in counts), key=repr)
@@ -98,6 +102,13 @@ def test_token_counts(corpus, nothing):
     assert token_counts.token_counts(nothing).count() == 0
 
 
+def test_token_counts_of_a_whole_table_are_those_of_the_library(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    library = Tokenizer.from_file(tokens.public_path("byte_bpe_50k.json"))
+    wanted = sorted((d, len(library.encode(t or "", add_special_tokens=False).ids)) for d, t in rows(docs))
+    assert sorted(rows(token_counts.token_counts(docs).select("doc_id", "n_tokens"))) == wanted
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_interval_expansion_finds_what_counting_finds(seed):
     rnd = random.Random(seed)
