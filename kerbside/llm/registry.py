@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import decontamination, html_text, jaccard_join, licenses, oracle, packing, quality_rules, repeats, token_counts, toxicity, wavelet
+from kerbside.llm import decontamination, html_text, jaccard_join, licenses, oracle, packing, quality_rules, repeats, resampling, token_counts, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resampled(_documents(spark, sf_dir), target).drop("n_words")
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op7_token_id_shards": op7_token_id_shards,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_token_counts": op9_token_counts,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 ORACLE: dict[str, str] = {
     "op5_jaccard_join": oracle.JACCARD_JOIN,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -86,3 +88,27 @@ def measures(text):
     n, repeated = len(w), len(hit)
     symbols = len(re.findall(r"[#*$%&|<>]", text))
     return n, sum(map(len, w)), symbols, len(lines) - len(set(lines)), repeated, n < 50 or 100 * repeated > 50 * n
+
+
+def features(text):
+    w = ITEM_WORDS.findall(lower(text))
+    return len(w), [*w, *[f"{a} {b}" for a, b in zip(w, w[1:])]]
+
+
+def resampled(docs, targets):
+    """[(doc_id, n_features, weight, score, rank)] for distinct ids."""
+    bucket = lambda x: zlib.crc32(x.encode()) % 10_000
+    own, target = (Counter(bucket(x) for _, t in table for x in features(t)[1]) for table in (docs, targets))
+    big_s, big_t = sum(own.values()), sum(target.values())
+    gain = lambda b: math.floor(1000 * math.log((target[b] + 1.0) * (big_s + 10_000) / ((own[b] + 1.0) * (big_t + 10_000))))
+    out, pool = {}, []
+    for doc, text in docs:
+        n, found = features(text)
+        weight = sum(gain(bucket(x)) for x in found) // len(found) if found else 0
+        h = int(hashlib.sha256(f"7:{doc}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out[doc] = (len(found), weight, score)
+        if n >= 20:
+            pool.append((-score, doc))
+    ranks = {doc: i for i, (_, doc) in enumerate(sorted(pool)[: 25 * len(pool) // 100], 1)}
+    return [(doc, *x, ranks.get(doc)) for doc, x in out.items()]

@@ -24,6 +24,7 @@ from kerbside.llm import (
     quality_rules,
     registry,
     repeats,
+    resampling,
     token_counts,
     tokens,
     toxicity,
@@ -414,6 +415,38 @@ def test_license_copies_are_found_in_place(spark, nothing):
     assert licenses.chance_of_band(licenses.least_similarity()) >= licenses.PROMISED
 
 
+def test_resampling(spark, corpus, nothing, monkeypatch):
+    docs, frame = corpus
+    items = [(i, t) for i, t in docs if t and i % 9 == 0] + [(None, None), (7, "A, a")]
+    target = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    wanted = sorted(brute.resampled(docs, items), key=repr)
+    columns = ["doc_id", "n_features", "weight", "score", "rank"]
+    assert found(resampling.resampled(clashing(frame), target), *columns) == wanted and any(w[4] for w in wanted)
+    monkeypatch.setattr(resampling, "PIECE_BYTES", 7)
+    assert [w for p in resampling.word_pieces("ab é'c ".encode() * 9, 7) for w in p] == decontamination.contract_words("ab é'c ".encode() * 9)
+    assert resampling.resampled(nothing, target).count() == 0
+    alone = resampling.resampled(frame, target.limit(0))
+    assert found(alone, *columns) == sorted(brute.resampled(docs, []), key=repr)
+
+
+def test_draws_and_ranks_of_ties(spark):
+    rnd = random.Random(13)
+    data = [(rnd.choice([5, 5, 5, -3, 9]), rnd.choice([None, 1, 1, 2, -7, *range(9)]), i) for i in range(300)]
+    frame = spark.createDataFrame(data, "score BIGINT, doc_id BIGINT, row BIGINT").repartition(7)
+    ordered = sorted(data, key=lambda r: (-r[0], r[1] is None, r[1] or 0, r[2]))
+    for wanted in (0, 61, 300):
+        drawn = frame.filter(resampling.is_drawn(frame, wanted))
+        answer = sorted(rows(resampling.ranked(drawn, wanted).select("rank", "score", "doc_id", "row")))
+        assert answer == [(i, *r) for i, r in enumerate(ordered[:wanted], 1)]
+
+
+def test_resampling_of_repeated_ids(spark):
+    text = "w " * 30
+    docs = spark.createDataFrame([(1, text)] * 6 + [(None, text)] * 2 + [(2, "few")], SCHEMA)
+    ranks = [r[0] for r in rows(resampling.resampled(docs, docs).select("rank"))]
+    assert sorted(r for r in ranks if r) == [1, 2] and len(ranks) == 9
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
