@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import decontamination, html_text, jaccard_join, licenses, oracle, packing, quality_rules, repeats, resampling, token_counts, toxicity, wavelet
+from kerbside.llm import decontamination, html_text, jaccard_join, licenses, oracle, packing, periodic_runs, quality_rules, repeats, resampling, token_counts, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(_documents(spark, sf_dir), target).drop("n_words")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_documents(spark, sf_dir), periodic_runs.with_planted_runs)
+    return found.drop("n_words", "n_dropped")
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_token_counts": op9_token_counts,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLE: dict[str, str] = {
     "op5_jaccard_join": oracle.JACCARD_JOIN,

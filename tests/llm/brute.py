@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 from itertools import combinations
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -112,3 +113,40 @@ def resampled(docs, targets):
             pool.append((-score, doc))
     ranks = {doc: i for i, (_, doc) in enumerate(sorted(pool)[: 25 * len(pool) // 100], 1)}
     return [(doc, *x, ranks.get(doc)) for doc, x in out.items()]
+
+
+def runs_of(words):
+    """[(start, length, smallest period)] of maximal runs of 24 words and three periods at least."""
+    n, out = len(words), {}
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(24, 3 * q):
+                out.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted((a, b - a, q) for (a, b), q in out.items())
+
+
+def periodic(docs, planted=True):
+    """The contract's rows, of distinct ids."""
+    out = []
+    for doc, text in docs:
+        w = WORDS.findall(text or "")
+        n, h = len(w), zlib.crc32(str(doc).encode())
+        if planted and doc is not None and h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [w[a + (i - a) % p] if i >= a else w[i] for i in range(n)]
+        found = runs_of(w)
+        gone = {i for s, length, q in found for i in range(s + q, s + length)}
+        best = min(found, key=lambda r: (Fraction(-r[1], r[2]), r[0], r[2]), default=None)
+        top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        lines = "".join("%d,%d,%d\n" % r for r in found)
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        digests = (hashlib.sha256(x.encode()).hexdigest() for x in (lines, kept))
+        out.append((doc, len(found), top[0], top[1], top[2], top[3], *digests))
+    return out

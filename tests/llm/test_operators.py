@@ -17,10 +17,12 @@ from kerbside.llm import (
     bwt,
     components,
     decontamination,
+    grammar_runs,
     html_text,
     jaccard_join,
     licenses,
     packing,
+    periodic_runs,
     quality_rules,
     registry,
     repeats,
@@ -447,6 +449,65 @@ def test_resampling_of_repeated_ids(spark):
     assert sorted(r for r in ranks if r) == [1, 2] and len(ranks) == 9
 
 
+def periodic_words(rnd):
+    kinds = rnd.choice([1, 2, 2, 3, 5, 20])
+    words = [rnd.randrange(kinds) for _ in range(rnd.randrange(150))]
+    for _ in range(rnd.randrange(4)):
+        part = [rnd.randrange(kinds) for _ in range(rnd.choice([1, 2, 3, 5, 8, 9, 12, 17, 25]))]
+        part = (part * rnd.randrange(2, 30))[: rnd.randrange(10, 200)]
+        if rnd.random() < 0.4:
+            part = (part + [rnd.randrange(kinds)]) * rnd.randrange(1, 5)
+        if rnd.random() < 0.3 and part:
+            part[rnd.randrange(len(part))] = rnd.randrange(kinds)
+        at = rnd.randrange(len(words) + 1)
+        words[at:at] = part
+    return words[:500]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_on_a_grammar_are_those_of_comparing_all_words(seed):
+    rnd = random.Random(seed)
+    for _ in range(25):
+        texts = [[b"%d" % w for w in periodic_words(rnd)] for _ in range(rnd.randrange(1, 5))]
+        numbers, ends = periodic_runs.numbered(texts)
+        begin, end, period = grammar_runs.runs(numbers, ends)
+        wanted = [(s + int(e) - len(t), n, q) for t, e in zip(texts, ends) for s, n, q in brute.runs_of(t)]
+        assert sorted(zip(begin.tolist(), (end - begin).tolist(), period.tolist())) == sorted(wanted)
+
+
+def test_a_grammar_derives_its_texts():
+    rnd = random.Random(5)
+    texts = [[b"%d" % w for w in periodic_words(rnd)] for _ in range(20)]
+    numbers, ends = periodic_runs.numbered(texts)
+    grammar = grammar_runs.re_pair(numbers, ends)
+    left, right, *_ = grammar.rules()
+
+    def derived(symbol):
+        nth = symbol - grammar.first
+        return [symbol] if nth < 0 else derived(left[nth]) + derived(right[nth])
+
+    assert [w for s in grammar.symbols for w in derived(s)] == numbers.tolist()
+    places = set(grammar.at.tolist())
+    assert {0, *ends[:-1].tolist()} - {int(ends[-1])} <= places and len(grammar.symbols) < len(numbers) / 2
+    pairs = list(zip(grammar.symbols, grammar.symbols[1:], grammar.at[1:]))
+    again = [p[:2] for p in pairs if p[0] != p[1] and int(p[2]) not in ends]
+    assert len(again) == len(set(again))
+
+
+def test_periodic_runs(spark, corpus, nothing):
+    rnd = random.Random(14)
+    docs = [*corpus[0], *[(1000 + i, " ".join(f"w{w}" for w in periodic_words(rnd))) for i in range(60)], (None, "a " * 40), (2000, "a\n" * 24)]
+    frame = spark.createDataFrame(docs, SCHEMA).repartition(5)
+    wanted = sorted(brute.periodic(docs), key=repr)
+    answer = periodic_runs.periodic_runs(clashing(frame).drop("words", "length"), periodic_runs.with_planted_runs)
+    assert found(answer.drop("n_words", "n_dropped"), "*") == wanted and sum(w[1] > 0 for w in wanted) > 20
+    plain = periodic_runs.periodic_runs(clashing(frame).drop("words", "length"))
+    assert found(plain.drop("n_words", "n_dropped"), "*") == sorted(brute.periodic(docs, False), key=repr)
+    assert periodic_runs.periodic_runs(nothing).count() == 0
+    twice = spark.createDataFrame([(1, "a " * 30), (1, "b"), (1, "a " * 30)], SCHEMA)
+    assert found(periodic_runs.periodic_runs(twice), "doc_id", "n_runs", "period", "exponent_milli", "n_dropped") == sorted([(1, 1, 1, 30000, 29)] * 2 + [(1, 0, None, None, 0)], key=repr)
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
