@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import decontamination, html_text, jaccard_join, licenses, oracle, packing, periodic_runs, quality_rules, repeats, resampling, token_counts, toxicity, wavelet
+from kerbside.llm import decontamination, fingerprints, html_text, jaccard_join, licenses, oracle, packing, periodic_runs, quality_rules, repeats, resampling, token_counts, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("n_words", "n_dropped")
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared_with_edited(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 ORACLE: dict[str, str] = {
     "op5_jaccard_join": oracle.JACCARD_JOIN,

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import struct
@@ -17,8 +18,10 @@ from kerbside.llm import (
     bwt,
     components,
     decontamination,
+    fingerprints,
     grammar_runs,
     html_text,
+    improbable_features,
     jaccard_join,
     licenses,
     packing,
@@ -508,6 +511,128 @@ def test_periodic_runs(spark, corpus, nothing):
     assert found(periodic_runs.periodic_runs(twice), "doc_id", "n_runs", "period", "exponent_milli", "n_dropped") == sorted([(1, 1, 1, 30000, 29)] * 2 + [(1, 0, None, None, 0)], key=repr)
 
 
+def plain_digest(text, ranks):
+    """Window by window, the contract of the digest: (features of the last filter, filters as sets of bits)."""
+    f, n = improbable_features, improbable_features.WINDOW
+    if len(text) < n:
+        return None
+    letters = [int(v) for v in f._LETTERS]
+
+    def mixed(x):
+        x = (x ^ (x >> 31)) * 0xBF58476D1CE4E5B9 % 2**64
+        return x ^ (x >> 29)
+
+    def hashed(w):
+        h = [letters[b] for b in w]
+        step = 1
+        while step < n:
+            h = [mixed((a * 0xC2B2AE3D27D4EB4F + b) % 2**64) for a, b in zip(h, h[step:])]
+            step *= 2
+        return h[0]
+
+    keys = []
+    for i in range(len(text) - n + 1):
+        w = text[i : i + n]
+        kind = sum(round(w.count(b) * np.log2(w.count(b)) * f._SCALE) for b in set(w))
+        keys.append((int(ranks[kind]) << 56) | (hashed(w) >> 8))
+    least = [min(keys[max(0, j) : j + f.GROUP]) for j in range(1 - f.GROUP, len(keys))]
+    chosen, j = [], 0
+    while j < len(least):
+        end = j
+        while end < len(least) and least[end] == least[j]:
+            end += 1
+        if end - j >= f.LEAST_WINS:
+            chosen.append(least[j] % 2**56)
+        j = end
+    chosen = list(dict.fromkeys(chosen))
+    filters = []
+    for at in range(0, len(chosen), f.FILTER_FEATURES):
+        bits = set()
+        for x in chosen[at : at + f.FILTER_FEATURES]:
+            h = mixed(x * 0x9E3779B97F4A7C15 % 2**64)
+            bits |= {(h >> 10 * k) % f.FILTER_BITS for k in range(f.HASHES)}
+        filters.append(bits)
+    return (len(chosen) - 1) % f.FILTER_FEATURES + 1, filters
+
+
+def test_digests_hold_the_most_improbable_windows():
+    rnd = random.Random(15)
+    texts = [bytes(rnd.choice(b"abcdefgh  \xc3\xa9") for _ in range(rnd.choice([0, 5, 16, 17, 60, 400, 3000]))) for _ in range(40)] + [b"a" * 500, b"ab" * 300]
+    counts = improbable_features.class_counts(texts)
+    assert counts.sum() == sum(max(0, len(t) - 15) for t in texts)
+    ranks = improbable_features.rarity_ranks({int(c): int(counts[c]) for c in np.flatnonzero(counts)})
+    for text, digest in zip(texts, improbable_features.digests(texts, ranks)):
+        wanted = plain_digest(text, ranks)
+        if wanted is None:
+            assert (len(digest) == 130) == (len(text) > 0)
+            continue
+        bits = np.unpackbits(np.frombuffer(digest, np.uint8, offset=2)).reshape(len(wanted[1]), -1)
+        assert int.from_bytes(digest[:2], "little") == wanted[0] and [set(np.flatnonzero(b)) for b in bits] == wanted[1]
+
+
+def test_long_texts_have_the_digests_of_whole_ones(monkeypatch):
+    rnd = random.Random(16)
+    text = bytes(rnd.choice(b"abcdefgh  ") for _ in range(9000)) + b"ab" * 2000
+    ranks = improbable_features.rarity_ranks({})
+    whole, counts = improbable_features.digests([text], ranks), improbable_features.class_counts([text])
+    monkeypatch.setattr(improbable_features, "PIECE_BYTES", 700)
+    assert improbable_features.digests([text, b"", text], ranks) == [whole[0], b"", whole[0]]
+    assert (improbable_features.class_counts([text]) == counts).all()
+
+
+def edited_texts(docs):
+    """{doc_id: (edited text, next id)} by the contract, for distinct ids."""
+    out, ordered = {}, sorted(docs, key=lambda d: -d[0])
+    for i, (doc, text) in enumerate(ordered):
+        other, after = ordered[(i + 1) % len(ordered)]
+        text, after = text or "", after or ""
+        cut = len(text) // 3
+        out[doc] = (text[: len(text) - cut] + after[:cut], other)
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8, 64])
+def test_fingerprints_of_edited_documents(spark, corpus, parts):
+    docs, frame = corpus
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        answer = {r.doc_id: r for r in fingerprints.compared_with_edited(clashing(frame)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    wanted, texts = edited_texts(docs), {d: t or "" for d, t in docs}
+    assert len(answer) == len(docs) and set(answer) == set(texts)
+    prints = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(frame).collect()}
+    for doc, (edited, other) in wanted.items():
+        row = answer[doc]
+        assert (row.n_chars, row.edited_sha256) == (len(texts[doc]), hashlib.sha256(edited.encode()).hexdigest())
+        assert row.fingerprint == prints[doc] and 0 <= row.near_edited <= 1
+        assert (row.near_next == 1) or texts[other] != texts[doc]
+    long = [r for r in answer.values() if r.n_chars > 200 and len(set(texts[r.doc_id])) > 5]
+    # Few of these texts are strangers to the next one, so only the edited ones have a bound that holds for each.
+    assert sum(r.near_edited > 0.3 for r in long) > 0.9 * len(long)
+
+
+def test_fingerprints_of_repeated_ids_and_none(spark, nothing):
+    rnd = random.Random(17)
+    a, b, c = (" ".join(f"w{rnd.randrange(10**6)}" for _ in range(200)) for _ in range(3))
+    docs = spark.createDataFrame([(5, a), (5, a), (5, b), (None, a), (None, None), (2, c)], SCHEMA).repartition(4)
+    answer = rows(fingerprints.compared_with_edited(docs).select("doc_id", "n_chars", "near_next", "near_edited", "fingerprint"))
+    assert len(answer) == 6 and len({r[4] for r in answer if r[1] == len(a)}) <= 2
+    near = sorted((r[2] for r in answer if r[0] == 5), reverse=True)
+    assert near[0] == 1 and near[1] < 0.2 > near[2] and [r[2] for r in answer if r[0] is None and r[1]] == [0.0]
+    one = fingerprints.compared_with_edited(spark.createDataFrame([(1, a)], SCHEMA)).collect()
+    assert one[0].near_next == 1 and one[0].edited_sha256 == hashlib.sha256((a[: len(a) - len(a) // 3] + a[: len(a) // 3]).encode()).hexdigest()
+    assert fingerprints.compared_with_edited(nothing).count() == 0 and fingerprints.fingerprints(nothing).count() == 0
+
+
+def test_strangers_are_unlike(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    answer = fingerprints.compared_with_edited(docs).filter("n_chars >= 500").select("near_edited", "near_next")
+    edited, other = (np.array(x) for x in zip(*rows(answer)))
+    assert np.quantile(edited, 0.05) > 0.4 and np.median(edited) > 0.5 and np.quantile(other, 0.95) < 0.1
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
