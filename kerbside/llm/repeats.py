@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.bwt import repeated_starts
-from kerbside.llm.tables import few_or_shuffled, forget, id_and_bytes, stored
+from kerbside.llm.tables import few_or_shuffled, forget, fresh, id_and_bytes, stored
 from kerbside.llm.words import mixed
 
 LEAST, ANCHOR = 200, 50
@@ -263,24 +263,26 @@ def repeated_ranges(docs: DataFrame, texts: DataFrame, least: int, hot: int = HO
 
 
 def with_spans(docs: DataFrame, least: int = LEAST, hot: int = HOT_CONTEXTS) -> DataFrame:
-    """The rows of ``docs`` with ``repeat_spans``, the maximal byte runs [begin, end) to remove, or null where there are none.
+    """The rows of ``docs`` with ``repeat_spans`` (under a longer name if a column has this one), the byte ranges [begin, end)
+    to remove, or null where there are none.
 
     Strings are judged on the texts as they are given, not on what is left; matches never cross texts.
     """
-    keyed = docs.withColumn("repeat_node", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    own = keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("repeat_node").alias("node"))
+    node, spans = fresh(docs, "repeat_node"), fresh(docs, "repeat_spans")
+    keyed = docs.withColumn(node, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    own = keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(node).alias("node"))
     texts = text_runs(own, least)
     single = repeated_ranges(own, texts.filter(F.col("n_bytes") >= least), least, hot)
     # A text with copies is repeated as a whole.
     copied = texts.filter((F.col("copies") > 1) & (F.col("n_bytes") >= least))
     whole = copied.select("node", F.lit(0).alias("begin"), F.col("n_bytes").cast("int").alias("end"))
-    cuts = single.union(whole).groupBy("node").agg(F.collect_set(F.struct("begin", "end")).alias("repeat_spans"))
-    cuts = stored(cuts.withColumnRenamed("node", "repeat_node"), "cuts")
+    cuts = single.union(whole).groupBy("node").agg(F.collect_set(F.struct("begin", "end")).alias(spans))
+    cuts = stored(cuts.withColumnRenamed("node", node), "cuts")
     forget(texts, single)
-    nodes = few_or_shuffled(stored(cuts.select("repeat_node"), "cut_nodes"), BROADCAST_ROWS)
-    cut = keyed.join(nodes, "repeat_node", "left_semi").join(cuts, "repeat_node")
-    left = keyed.join(nodes, "repeat_node", "left_anti").withColumn("repeat_spans", F.lit(None).cast(cuts.schema["repeat_spans"].dataType))
-    return cut.unionByName(left).drop("repeat_node")
+    nodes = few_or_shuffled(stored(cuts.select(node), "cut_nodes"), BROADCAST_ROWS)
+    cut = keyed.join(nodes, node, "left_semi").join(cuts, node)
+    left = keyed.join(nodes, node, "left_anti").withColumn(spans, F.lit(None).cast(cuts.schema[spans].dataType))
+    return cut.unionByName(left).drop(node)
 
 
 def _kept(text: bytes, spans: list[list[int]]) -> bytes:
@@ -318,11 +320,11 @@ def without_repeats(docs: DataFrame, least: int = LEAST, hot: int = HOT_CONTEXTS
     text that is cut whole stays as an empty one.
     """
 
-    names = list(docs.columns)
+    names, extra = list(docs.columns), fresh(docs, "repeat_spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column(batch.schema.get_field_index("repeat_spans")).to_pylist()
+            spans = batch.column(batch.schema.get_field_index(extra)).to_pylist()
             at = batch.schema.get_field_index("text")
             texts = [
                 t if t is None or not s else _kept(t.encode(), _merged([(x["begin"], x["end"]) for x in s])).decode(errors="ignore")

@@ -40,6 +40,14 @@ def few_or_shuffled(frame: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(frame) if frame.limit(most_rows + 1).count() <= most_rows else frame
 
 
+def fresh(frame: DataFrame, name: str) -> str:
+    """The name, made longer until no column of ``frame`` has it, without regard to case."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def pick(frame: DataFrame, *names: str) -> DataFrame:
     """The named columns only, found without regard to case; other columns, however named, play no part."""
     return frame.select(*[F.col(f"`{name}`") for name in names])
