@@ -17,13 +17,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from kerbside.llm.components import components
-from kerbside.llm.tables import few_or_shuffled, forget, id_and_bytes, stored
+from kerbside.llm.tables import few_or_shuffled, forget, fresh, id_and_bytes, stored
 from kerbside.llm.words import shingle_set
 
 # Fixed: links need 100 * shared >= 80 * united.
@@ -31,6 +33,8 @@ PERCENT = 80
 # Documents in a block, on either side; pairs that a cell compares without further pivots.
 BLOCK, DIRECT_PAIRS, PIVOTS = 512, 4096, 8
 BROADCAST_ROWS = 500_000
+# Sets whose counts one task sums up.
+COUNTED_SETS = 50_000
 
 
 def needed(n: int) -> int:
@@ -48,7 +52,7 @@ def first_shingles(n: int) -> tuple[int, int]:
 
 
 def profiles(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows of three kinds, told by ``part``: a document (-1), shown shingles of a batch that fall to a part (0 on), and
+    """From (key, text, doc_id) rows of three kinds, told by ``part``: a document (-1), shown shingles of a batch that fall to a part (0 on), and
     numbers of shown shingles that other sets of the batch show too (-2).
 
     A shingle that several sets of a batch show goes on as one entry that no set owns, so however common, it costs a batch
@@ -56,7 +60,7 @@ def profiles(docs: DataFrame, parts: int) -> DataFrame:
     """
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in id_and_bytes(batches, 16 << 20):
+        for ids, texts, keys_of in _with_ids(batches):
             sizes, high, low, shown, owners, seen = [], [], [], [], [], set()
             for text in texts:
                 s = shingle_set(text)
@@ -69,7 +73,7 @@ def profiles(docs: DataFrame, parts: int) -> DataFrame:
                     first = s[: first_shingles(len(s))[0]]
                     shown.append(first)
                     owners.append(np.full(len(first), high[-1], np.int64))
-            docs_part = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64())]
+            docs_part = [ids, pa.array(keys_of, pa.int64()), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64())]
             yield _rows(docs_part, pa.array([-1] * len(ids), pa.int32()), None, None)
             if not shown:
                 continue
@@ -80,7 +84,7 @@ def profiles(docs: DataFrame, parts: int) -> DataFrame:
             common = again | np.r_[again[1:], False]
             who, times = np.unique(own[common], return_counts=True)
             none = pa.nulls(len(who), pa.int64())
-            yield _rows([none, pa.array(times, pa.int64()), pa.array(who, pa.int64()), none], pa.array([-2] * len(who), pa.int32()), None, None)
+            yield _rows([none, none, pa.array(times, pa.int64()), pa.array(who, pa.int64()), none], pa.array([-2] * len(who), pa.int32()), None, None)
             own = np.where(common, 0, own)[~again]
             keys = keys[~again]
             part = (keys % np.uint64(parts)).astype(np.int64)
@@ -90,23 +94,35 @@ def profiles(docs: DataFrame, parts: int) -> DataFrame:
             ends = np.r_[cuts[1:], len(part)]
             none = pa.nulls(len(cuts), pa.int64())
             yield _rows(
-                [none] * 4,
+                [none] * 5,
                 pa.array(part[cuts], pa.int32()),
                 [keys[a:b].tobytes() for a, b in zip(cuts, ends)],
                 [own[a:b].tobytes() for a, b in zip(cuts, ends)],
             )
 
-    schema = "doc_id bigint, n bigint, high bigint, low bigint, part int, keys binary, owners binary"
+    schema = "doc_id bigint, key bigint, n bigint, high bigint, low bigint, part int, keys binary, owners binary"
     return docs.mapInArrow(profiled, schema)
 
 
 def _rows(columns: list[pa.Array], part: pa.Array, keys: list | None, owners: list | None) -> pa.RecordBatch:
     blobs = [pa.nulls(len(part), pa.binary()) if x is None else pa.array(x, pa.binary()) for x in (keys, owners)]
-    return pa.RecordBatch.from_arrays([*columns, part, *blobs], ["doc_id", "n", "high", "low", "part", "keys", "owners"])
+    return pa.RecordBatch.from_arrays([*columns, part, *blobs], ["doc_id", "key", "n", "high", "low", "part", "keys", "owners"])
 
 
-def shown_elsewhere(table: pa.Table) -> pa.Table:
-    """(high, n): for each set, how many of a part's shingles it shows that another set shows too."""
+def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes], list[int]]]:
+    """(doc_ids, texts, keys) of a (key, text, doc_id) stream."""
+    for batch in batches:
+        at = 0
+        for keys, texts in id_and_bytes([batch], 16 << 20):
+            yield batch.column(2).slice(at, len(keys)), texts, keys
+            at += len(keys)
+
+
+def shown_elsewhere(table: pa.Table, buckets: int) -> pa.Table:
+    """(bucket, sets, times): for the sets that show some of a part's shingles which another set shows too, how many.
+
+    Sets are packed by the bucket that sums them up, so a part makes a row for a bucket and not for a set.
+    """
     keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()])
     own = np.concatenate([np.frombuffer(x, np.int64) for x in table["owners"].to_pylist()])
     order = np.lexsort((own, keys))
@@ -117,34 +133,61 @@ def shown_elsewhere(table: pa.Table) -> pa.Table:
     counts = np.diff(np.r_[starts, len(keys)])
     unowned = np.logical_or.reduceat(own == 0, starts)
     common = np.repeat((counts > 1) | unowned, counts) & (own != 0)
-    who, times = np.unique(own[common], return_counts=True)
-    return pa.table({"high": pa.array(who, pa.int64()), "n": pa.array(times, pa.int64())})
+    return _packed(*np.unique(own[common], return_counts=True), buckets)
+
+
+def _packed(who: np.ndarray, times: np.ndarray, buckets: int) -> pa.Table:
+    home = who % buckets
+    order = np.argsort(home, kind="stable")
+    who, times, home = who[order], times[order], home[order]
+    cuts = np.flatnonzero(np.r_[True, home[1:] != home[:-1]])[: len(home)]
+    ends = [*cuts[1:].tolist(), len(home)]
+    return pa.table(
+        {
+            "bucket": pa.array(home[cuts], pa.int64()),
+            "sets": pa.array([who[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            "times": pa.array([times[a:b].astype(np.int64).tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+        }
+    )
+
 
+def summed(table: pa.Table) -> pa.Table:
+    """(high, common) of the sets of one bucket."""
+    who = np.concatenate([np.frombuffer(x, np.int64) for x in table["sets"].to_pylist()])
+    times = np.concatenate([np.frombuffer(x, np.int64) for x in table["times"].to_pylist()])
+    sets, nth = np.unique(who, return_inverse=True)
+    total = np.zeros(len(sets), np.int64)
+    np.add.at(total, nth, times)
+    return pa.table({"high": pa.array(sets, pa.int64()), "common": pa.array(total, pa.int64())})
 
-def candidate_sets(docs: DataFrame, sets: DataFrame, profile: DataFrame) -> DataFrame:
+
+def candidate_sets(docs: DataFrame, sets: DataFrame, profile: DataFrame, repeated: bool) -> DataFrame:
     """(node, n, s): sets that can have links, with their shingles ascending. A stored table.
 
-    ``sets`` has one row per distinct set (high, low, n, node). What is counted may be too high, never too low.
+    ``docs`` is (key, text, doc_id), ``sets`` has one row per distinct set (high, low, n, key, node). What is counted may be
+    too high, never too low. ``repeated`` tells whether rows may share a key.
     """
+    buckets = -(-sets.count() // COUNTED_SETS) or 1
     blocks = profile.filter("part >= 0").select("part", "keys", "owners")
-    elsewhere = blocks.groupBy("part").applyInArrow(shown_elsewhere, "high bigint, n bigint")
+    elsewhere = blocks.groupBy("part").applyInArrow(lambda table: shown_elsewhere(table, buckets), "bucket bigint, sets binary, times binary")
     here = profile.filter("part = -2").select("high", "n")
-    counts = elsewhere.union(here).groupBy("high").agg(F.sum("n").alias("common"))
+    there = elsewhere.groupBy("bucket").applyInArrow(summed, "high bigint, common bigint")
+    counts = there.union(here).groupBy("high").agg(F.sum("common").alias("common"))
     least = 1 + F.floor(F.ceil(F.col("n") * PERCENT / 100) / 10)
     able = sets.join(counts, "high").filter(F.col("common") >= least)
-    able = stored(able.select(F.col("node").alias("doc_id"), "high"), "able")
+    able = stored(able.select("key", "high", "node"), "able")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(2).to_pylist()
             at = 0
-            for ids, texts in id_and_bytes([batch.select(["doc_id", "text"])]):
+            for nodes, texts in id_and_bytes([batch]):
                 rows = []
-                for doc, text, high in zip(ids, texts, wanted[at : at + len(ids)]):
+                for node, text, high in zip(nodes, texts, wanted[at : at + len(nodes)]):
                     s = shingle_set(text)
                     if (xxhash.xxh3_128_intdigest(s.tobytes()) >> 64) - (1 << 63) == high:
-                        rows.append((doc, len(s), s.view(np.int64)))
-                at += len(ids)
+                        rows.append((node, len(s), s.view(np.int64)))
+                at += len(nodes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int64()),
@@ -154,8 +197,10 @@ def candidate_sets(docs: DataFrame, sets: DataFrame, profile: DataFrame) -> Data
                     ["node", "n", "s"],
                 )
 
-    texts = docs.join(few_or_shuffled(able, BROADCAST_ROWS), "doc_id").select("doc_id", "text", "high")
-    found = stored(texts.mapInArrow(listed, "node bigint, n bigint, s array<bigint>"), "sets")
+    texts = docs.join(few_or_shuffled(able, BROADCAST_ROWS), "key").select("node", "text", "high")
+    found = texts.mapInArrow(listed, "node bigint, n bigint, s array<bigint>")
+    # Rows that share a key and a text show their set twice.
+    found = stored(found.dropDuplicates(["node"]) if repeated else found, "sets")
     forget(able)
     return found
 
@@ -271,21 +316,24 @@ def links_within_regions(sets: DataFrame, regions: DataFrame, parts: DataFrame)
     return inside.union(outside).groupBy("region", "i", "j").applyInArrow(joined_block, "a bigint, b bigint")
 
 
-def jaccard_join(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(key, text, doc_id): the key finds a row's text again; it is the doc_id, or a hash of the text where that is null."""
+    doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
+    return docs.select(F.coalesce(doc_id, F.xxhash64(text)).alias("key"), text.alias("text"), doc_id.alias("doc_id"))
 
-    Texts of fewer than five words are one shingle, texts without words none; those are linked with nothing. Equal sets are
-    one node from the start, so copies never meet each other. Rows that share a doc_id are one document for links and a row
-    each in the result. A row with a null doc_id takes the component of its text's other rows, else null. Other columns are
-    left out. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, sets), both stored: (doc_id, key, n, high, low) of every row of ``docs``, and of every distinct set that is not
+    empty (h, l, key, least_id, component): where its text is found, its smallest doc_id, and the number that all sets share
+    which links tie together."""
+    own = _keyed(docs)
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profile = stored(profiles(own, parts), "profiles")
-    rows = stored(profile.filter("part = -1").select("doc_id", "n", "high", "low"), "rows")
-    sets = rows.filter("n > 0").groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"))
-    listed = candidate_sets(own, sets, profile)
+    rows = stored(profile.filter("part = -1").select("doc_id", "key", "n", "high", "low"), "rows")
+    sets = rows.filter("n > 0").groupBy("high", "low").agg(F.min("key").alias("key"), F.min("doc_id").alias("least_id"), F.first("n").alias("n"))
+    sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "distinct")
+    repeated = not rows.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").isEmpty()
+    listed = candidate_sets(own, sets, profile, repeated)
     forget(profile)
     entries = stored(rarest_first(listed), "entries")
     near, linked = links_to_pivots(entries, listed)
@@ -295,25 +343,62 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     whole = components(linked.union(more), "components")
     classes = stored(whole.select(F.col("node").alias("of_node"), "component"), "classes")
     named = sets.join(few_or_shuffled(classes, BROADCAST_ROWS), F.col("node") == F.col("of_node"), "left").select(
-        F.col("high").alias("h"), F.col("low").alias("l"), F.coalesce("component", "node").alias("component_id")
+        F.col("high").alias("h"), F.col("low").alias("l"), "key", "least_id", F.coalesce("component", "node").alias("component")
     )
+    return rows, stored(named, "named")
+
+
+def jaccard_join(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+
+    Texts of fewer than five words are one shingle, texts without words none; those are linked with nothing. Equal sets are
+    one node from the start, so copies never meet each other. Rows are linked by their texts alone, whether doc_ids repeat or
+    are null; ``component_id`` is the smallest doc_id that is not null among the linked rows, null if there is none. Other
+    columns are left out. An empty table gives no rows.
+    """
+    rows, sets = linked_sets(docs)
+    least = sets.groupBy("component").agg(F.min("least_id").alias("component_id")).withColumnRenamed("component", "of_component")
+    named = sets.join(least, F.col("component") == F.col("of_component")).select("h", "l", "component_id")
     # Copies make a fingerprint frequent: the join is on one row per fingerprint, and adaptive execution splits the other side.
     found = rows.join(named, (F.col("high") == F.col("h")) & (F.col("low") == F.col("l")), "left")
     return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
+@F.pandas_udf(BinaryType())
+def _mark(texts: pd.Series) -> pd.Series:
+    """The fingerprint of each text's set, as ``profiles`` has it."""
+    return texts.map(lambda t: xxhash.xxh3_128_digest(shingle_set((t or "").encode()).tobytes()))
+
+
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows and columns of ``docs`` without those that links tie to a document with a smaller doc_id.
+    """One row, with all its columns, of each group of rows that links tie together: that with the smallest doc_id.
 
-    Of rows that share a doc_id one stays; rows without a doc_id stay.
+    Links alone drop rows: of different texts with one doc_id both stay, of equal texts without doc_ids one does, and rows
+    without words all stay. A null doc_id comes after all others; among equal rows any one stays. An empty table stays empty.
     """
-    found = jaccard_join(docs)
-    first = stored(found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times")), "first")
-    key = F.col("doc_id").cast("bigint")
-    once = few_or_shuffled(stored(first.filter("times = 1").select(F.col("doc_id").alias("kept_id")), "once"), BROADCAST_ROWS)
-    more = few_or_shuffled(stored(first.filter("times > 1").select(F.col("doc_id").alias("kept_id")), "more"), BROADCAST_ROWS)
-    single = docs.join(once, key == F.col("kept_id"), "left_semi")
-    repeated = docs.join(more, key == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.filter(F.col("doc_id").isNull()))
+    rows, sets = linked_sets(docs)
+    # A group's set with the smallest id, and the key under which a row with it is found.
+    order = F.struct(F.col("least_id").isNull(), "least_id", "key", "h", "l")
+    chosen = sets.groupBy("component").agg(F.min(order).alias("c")).select(
+        F.coalesce("c.least_id", "c.key").alias("key"), F.col("c.h").alias("high"), F.col("c.l").alias("low")
+    )
+    empty = rows.filter("n = 0").select("key", F.lit(None).cast("bigint").alias("high"), F.lit(None).cast("bigint").alias("low")).distinct()
+    # Keys that several rows share are told apart by their texts; usually there are none.
+    shared = stored(rows.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key"), "shared")
+    wanted = stored(chosen.unionByName(empty), "wanted")
+    key, mark = (fresh(docs, name) for name in ("kept_key", "kept_mark"))
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string"))))
+    alone = wanted.join(few_or_shuffled(shared, BROADCAST_ROWS), "key", "left_anti").select(F.col("key").alias(key))
+    single = keyed.join(few_or_shuffled(stored(alone, "alone"), BROADCAST_ROWS), key, "left_semi").drop(key)
+    if shared.isEmpty():
+        return single
+    several = keyed.join(few_or_shuffled(shared.select(F.col("key").alias(key)), BROADCAST_ROWS), key, "left_semi")
+    several = several.withColumn(mark, _mark(F.col("text").cast("string")))
+    blank = several.filter(F.col(mark) == F.lit(xxhash.xxh3_128_digest(b""))).drop(key, mark)
+    marks = wanted.join(few_or_shuffled(shared, BROADCAST_ROWS), "key", "left_semi").filter("high IS NOT NULL")
+    halves = [F.lpad(F.hex(F.col(c).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0") for c in ("high", "low")]
+    marks = marks.select(F.col("key").alias(key), F.unhex(F.concat(*halves)).alias(mark))
+    first = several.join(marks, [key, mark], "left_semi").dropDuplicates([key, mark]).drop(key, mark)
+    return single.unionByName(blank).unionByName(first)

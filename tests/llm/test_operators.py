@@ -139,7 +139,9 @@ def test_removal_treats_repeated_rows_as_texts_of_their_own(spark):
     docs = [(1, text), (1, text), (None, text), (2, text[:199])]
     answer = found(repeats.removal_digest(spark.createDataFrame(docs, SCHEMA)), "doc_id", "n_removed", "n_spans")
     assert answer == sorted([(1, 250, 1), (1, 250, 1), (None, 250, 1), (2, 0, 0)], key=repr)
-    kept = repeats.without_repeats(spark.createDataFrame(docs, SCHEMA))
+    named = spark.createDataFrame(docs, SCHEMA).withColumn("repeat_node", F.lit(1)).withColumn("Repeat_Spans", F.lit("x"))
+    kept = repeats.without_repeats(named)
+    assert kept.columns == named.columns and repeats.without_repeats(named.limit(0)).count() == 0
     assert found(kept, "doc_id", "text") == sorted([(1, ""), (1, ""), (None, ""), (2, text[:199])], key=repr)
 
 
@@ -177,10 +179,24 @@ def test_blocks_with_pivots_find_what_direct_comparison_finds():
 
 
 def test_jaccard_stage_keeps_one_of_each_group(spark):
+    text, near = "a b c d e f g h", "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
+    docs = [(5, text), (3, text.upper()), (3, "other words that are here now"), (None, text), (9, None), (9, None), (None, " ")]
+    docs += [(None, near), (None, near), (None, near + " sixteen"), (7, "alone among its kind it stands"), (7, "alone among its kind it stands")]
+    frame = clashing(spark.createDataFrame(docs, SCHEMA).repartition(3)).withColumn("kept_key", F.lit(1)).withColumn("KEPT_MARK", F.lit(2)).withColumn("kept_id", F.lit(3))
+    kept = jaccard_join.one_of_each_group(frame)
+    assert kept.columns == frame.columns
+    answer = sorted([tuple(r) for r in rows(kept.select("doc_id", "text"))], key=repr)
+    groups = [r for r in answer if r[0] is None and r[1] and r[1].startswith("one")]
+    wanted = [(3, text.upper()), (3, "other words that are here now"), (9, None), (9, None), (None, " "), (7, "alone among its kind it stands")]
+    assert len(groups) == 1 and sorted(wanted + groups, key=repr) == answer
+    assert jaccard_join.one_of_each_group(frame.limit(0)).count() == 0
+
+
+def test_jaccard_join_of_repeated_ids_and_none(spark):
     text = "a b c d e f g h"
-    docs = [(5, text), (3, text.upper()), (3, "other words that are here now"), (None, text), (9, None), (9, None)]
-    kept = jaccard_join.one_of_each_group(spark.createDataFrame(docs, SCHEMA))
-    assert sorted([r[0] for r in rows(kept)], key=repr) == [3, 9, None]
+    docs = [(5, text), (3, text), (3, "other words that are here now"), (None, text), (None, "so it goes on and on"), (4, None), (None, None)]
+    answer = found(jaccard_join.jaccard_join(spark.createDataFrame(docs, SCHEMA)), "doc_id", "n_shingles", "component_id")
+    assert answer == sorted([(5, 4, 3), (3, 4, 3), (3, 2, 3), (None, 4, 3), (None, 2, None), (4, 0, 4), (None, 0, None)], key=repr)
 
 
 def test_components_of_random_graphs(spark):
