@@ -3,9 +3,7 @@
 from kerbside.functions.columns import (
     elapsed_seconds,
     epoch_micros,
-    exact,
     known_borough,
-    mean_distance,
     mean_of_parts,
     month_start,
     ntz,
@@ -15,9 +13,7 @@ from kerbside.functions.columns import (
 __all__ = [
     "elapsed_seconds",
     "epoch_micros",
-    "exact",
     "known_borough",
-    "mean_distance",
     "mean_of_parts",
     "month_start",
     "ntz",

@@ -37,19 +37,6 @@ def known_borough(borough: Column, excluded: Sequence[str] = EXCLUDED_BOROUGHS)
     return borough.isNotNull() & ~borough.isin(*excluded)
 
 
-def exact(miles: Column) -> Column:
-    """Miles as a decimal of nine places; null for NaN.
-
-    A sum of doubles depends on the order of the rows, hence on the partitioning. A sum of decimals does not.
-    """
-    return F.when(~F.isnan(miles), miles).cast("decimal(28,9)")
-
-
-def mean_distance(total: Column, rows: Column, not_a_number: Column) -> Column:
-    """Average from an exact total and the number of distances; NaN if there was one, as a mean of doubles has it."""
-    return F.when(not_a_number > 0, F.lit(float("nan"))).otherwise(mean_of_parts(total, rows))
-
-
 def mean_of_parts(total: Column, rows: Column) -> Column:
     """Average from a total and a row count; null where there are no rows."""
     return F.try_divide(total.cast("double"), rows.cast("double"))

@@ -79,7 +79,14 @@ renamed AS (
   WHERE rn = 1
 )"""
 
-_GOLD = """
+# The sum of distances without rounding but the last one: whole numbers of 2 ** -74 miles (kept trips are longer than 2 ** -21
+# miles, so their doubles are multiples of that), the upper and the lower part made doubles for themselves.
+_WHOLE = "sum(CAST(trip_distance * pow(2.0, 74) AS HUGEINT))"
+_EXACT_SUM = (
+    f"((CAST({_WHOLE} >> 44 AS DOUBLE) * pow(2.0, 44) + CAST({_WHOLE} & ((CAST(1 AS HUGEINT) << 44) - 1) AS DOUBLE)) / pow(2.0, 74))"
+)
+
+_GOLD = f"""
 enriched AS (
   SELECT silver.*, p.Borough, d.Borough AS DO_Borough
   FROM silver
@@ -101,7 +108,7 @@ enriched AS (
   FROM enriched GROUP BY 1
 ), avg_distance AS (
   SELECT CAST(month(pickup_datetime) AS INTEGER) AS month,
-         CAST(sum(CAST(trip_distance AS DECIMAL(28, 9))) AS DOUBLE) / count(trip_distance) AS avg_distance
+         {_EXACT_SUM} / count(trip_distance) AS avg_distance
   FROM enriched GROUP BY 1
 ), avg_passengers AS (
   SELECT CAST(month(pickup_datetime) AS INTEGER) AS month, avg(passenger_count) AS avg_passenger_count
@@ -261,8 +268,14 @@ FROM expected LEFT JOIN found USING (month) ORDER BY month"""
     "gold_avg_duration": _gold("SELECT month, avg_duration_min FROM avg_duration ORDER BY month"),
     "gold_avg_distance": _gold("SELECT month, avg_distance FROM avg_distance ORDER BY month"),
     "gold_avg_passengers": _gold("SELECT month, avg_passenger_count FROM avg_passengers ORDER BY month"),
+    "gold_merged_month_states": _gold(
+        """SELECT month, ride_count, avg_duration_min, avg_distance, avg_passenger_count, passenger_rides
+FROM avg_duration JOIN avg_distance USING (month) LEFT JOIN avg_passengers USING (month) JOIN (
+  SELECT CAST(month(pickup_datetime) AS INTEGER) AS month, count(*) AS ride_count,
+         count(*) FILTER (WHERE passenger_count > 0) AS passenger_rides FROM silver GROUP BY 1) USING (month) ORDER BY month"""
+    ),
     "gold_base_rollup": _steps(
-        """, keyed AS (
+        f""", keyed AS (
   SELECT CAST(hour(pickup_datetime) AS INTEGER) AS hour, CAST(month(pickup_datetime) AS INTEGER) AS month, * FROM silver
 )
 SELECT CASE WHEN grouping(hour) = 0 THEN 'hour' WHEN grouping(month) = 0 THEN 'month' ELSE 'route' END AS grain,
@@ -270,9 +283,8 @@ SELECT CASE WHEN grouping(hour) = 0 THEN 'hour' WHEN grouping(month) = 0 THEN 'm
        count(*) AS ride_count,
        CAST(sum(duration_sec) AS BIGINT) AS duration_sec_sum,
        count(duration_sec) AS duration_rides,
-       sum(CAST(trip_distance AS DECIMAL(28, 9))) AS distance_sum,
-       count(trip_distance) AS distance_rides,
-       count(*) FILTER (WHERE isnan(trip_distance)) AS distance_nan_rides,
+       CASE WHEN grouping(month) = 0 THEN {_EXACT_SUM} END AS distance_sum,
+       CASE WHEN grouping(month) = 0 THEN count(trip_distance) END AS distance_rides,
        count(*) FILTER (WHERE passenger_count > 0) AS passenger_rides,
        CAST(sum(passenger_count) FILTER (WHERE passenger_count > 0) AS BIGINT) AS passenger_sum
 FROM keyed

@@ -95,6 +95,12 @@ def monthly_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return demand.monthly_averages(demand.activity_rollup(_silver(spark, sf_dir))).orderBy("month")
 
 
+def merged_month_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states of each month, merged to the averages of all months, as a partial build of gold has them."""
+    states = demand.month_states(_silver(spark, sf_dir))
+    return demand.month_rows(demand.rollup_of_states(states)).orderBy("month")
+
+
 def month_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pickup_month_counts(fixture.bronze_trips(spark, sf_dir))
     return quality.month_coverage(found, expected_months(spark))
@@ -153,7 +159,8 @@ QUERIES: dict[str, Query] = {
     "gold_avg_duration": avg_duration,
     "gold_avg_distance": avg_distance,
     "gold_avg_passengers": avg_passengers,
-    "gold_base_rollup": _from_silver(demand.activity_rollup),
+    "gold_base_rollup": _from_silver(lambda silver: demand.readable_rollup(demand.activity_rollup(silver))),
+    "gold_merged_month_states": merged_month_states,
     # Served views
     "serve_hourly_demand": _served(views.serve_hourly_demand, hourly_demand),
     "serve_demand_by_borough": _served(views.serve_demand_by_borough, demand_by_borough),

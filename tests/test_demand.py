@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from datetime import date
 
 import pytest
@@ -131,3 +132,15 @@ def test_a_distance_that_is_no_number_shows_in_the_average(silver, lookup):
     rolled = demand.gold_from_rollup(demand.activity_rollup(trips), lookup(*BOROUGHS))
     for table in (rolled["avg_distance"], demand.avg_distance(trips)):
         assert str(rows(table)[0][1]) == "nan"
+
+
+def test_average_distance_is_that_of_the_exact_sum(silver, lookup):
+    lists = {1: [1e-10, 1e-10], 2: [1e20, 0.1, 2.5], 3: [0.1] * 10, 4: [float("inf"), 1.0], 5: [float("inf"), float("-inf")], 6: [None], 7: [-0.1, 0.3]}
+    trips = silver(*[{"pickup": f"2025-{m:02d}-01 10:00:00", "miles": x} for m, xs in lists.items() for x in xs])
+    rolled = demand.gold_from_rollup(demand.activity_rollup(trips), lookup(*BOROUGHS))
+    merged = demand.gold_from_rollup(demand.rollup_of_states(demand.month_states(trips)), lookup(*BOROUGHS))
+    wanted = {m: math.fsum(xs) / len(xs) for m, xs in lists.items() if m not in (4, 5, 6)}
+    for table in (rolled["avg_distance"], merged["avg_distance"], demand.avg_distance(trips.repartition(7))):
+        answer = dict(rows(table))
+        assert {m: answer[m] for m in wanted} == wanted
+        assert answer[4] == float("inf") and str(answer[5]) == "nan" and answer[6] is None
