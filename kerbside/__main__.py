@@ -48,7 +48,7 @@ def main() -> None:
     elif args.stage == "silver":
         print(f"silver rows: {jobs.build_silver(spark, lake, period, only_these_months=args.only_these_months)}")
     elif args.stage == "gold":
-        for table, rows in jobs.build_gold(spark, lake, args.by_year or None).items():
+        for table, rows in jobs.build_gold(spark, lake, args.by_year or None, period, args.only_these_months).items():
             print(f"{table} rows: {rows}")
     elif args.stage == "serve":
         for line in jobs.serve(spark, lake, args.view).toJSON().toLocalIterator():

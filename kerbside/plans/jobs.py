@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbside.operators import quality
 from kerbside.operators.cleaning import clean_trips
-from kerbside.operators.demand import activity_rollup, gold_from_rollup
+from kerbside.operators.demand import BY_MONTH, gold_from_rollup, month_states, rollup_of_states
 from kerbside.operators.views import VIEWS, dash_monthly_averages, dash_popular_routes
 from kerbside.operators.zones import zone_id_uniqueness
 from kerbside.schemas import BRONZE_TRIPS, GOLD, SILVER_TRIPS
@@ -20,10 +21,14 @@ from kerbside.settings import GOLD_TABLES, CleaningRules, LakeLayout, Period
 from kerbside.sources.lake import (
     aligned_with_bronze,
     read_bronze,
+    read_silver,
     read_table,
     replace_bronze_month,
+    replace_months,
     replace_silver_month,
+    schema_if_present,
     write_bronze,
+    write_by_month,
     write_silver,
     write_table,
 )
@@ -36,6 +41,9 @@ from kerbside.sources.monthly_files import (
 from kerbside.sources.zone_file import read_zones
 
 
+FILE_MONTH = T.StructType([T.StructField("source_month", T.DateType())])
+
+
 def build_bronze(
     spark: SparkSession, lake: LakeLayout, period: Period = Period(), only_these_months: bool = False
 ) -> int:
@@ -75,12 +83,20 @@ def build_silver(
     return sum(replace_silver_month(cleaned(month), lake.silver, month.start) for month in period.each_month())
 
 
-def build_gold(spark: SparkSession, lake: LakeLayout, by_year: bool | None = None) -> dict[str, int]:
-    """Store the rollup, then the six tables read from it; returns the rows of each table.
+def build_gold(
+    spark: SparkSession,
+    lake: LakeLayout,
+    by_year: bool | None = None,
+    period: Period = Period(),
+    only_these_months: bool = False,
+) -> dict[str, int]:
+    """Store the states of each month, the rollup merged from them, and the six tables; returns the rows of each table.
 
-    Monthly tables carry the year where silver holds several years; a caller who refuses that then gets an error.
+    A full build scans silver once. A partial one scans the months of the period, replaces their states and merges them with
+    the stored states of the other months, so gold is as after a full build. Without stored states it is a full build.
 
-    Silver is scanned once. A repeated zone id would multiply counts, so the job checks for it first.
+    Monthly tables carry the year where silver holds several years; a caller who refuses that then gets an error. A repeated
+    zone id would multiply counts, so the job checks for it first.
     """
     zones = read_zones(spark, lake.zones)
     unique = zone_id_uniqueness(zones).select(
@@ -89,12 +105,18 @@ def build_gold(spark: SparkSession, lake: LakeLayout, by_year: bool | None = Non
         F.col("is_unique").alias("passed"),
     )
     quality.enforce(unique)
-    silver = read_table(spark, lake.silver)
-    # The years come from partition names alone.
-    several = silver.select(F.year("pickup_month")).distinct().limit(2).count() > 1
+    silver = read_silver(spark, lake.silver, columns=SILVER_TRIPS)
+    if only_these_months and schema_if_present(spark, lake.states) is not None:
+        month = F.col("pickup_month")
+        changed = silver.filter((month >= F.lit(period.start)) & (month < F.lit(period.end)))
+        replace_months(month_states(changed), lake.states, "pickup_month", period)
+    else:
+        write_by_month(month_states(silver), lake.states, "pickup_month")
+    states = read_table(spark, lake.states, month_states(silver).schema)
+    several = states.filter(F.col("grain") == BY_MONTH).select(F.year("pickup_month")).distinct().limit(2).count() > 1
     if several and by_year is False:
         raise ValueError("silver holds several years: month numbers would mix")
-    write_table(activity_rollup(silver, bool(by_year) or several), lake.rollup)
+    write_table(rollup_of_states(states, bool(by_year) or several), lake.rollup)
     tables = gold_from_rollup(read_table(spark, lake.rollup), zones)
     return {name: write_table(table, lake.gold(name)) for name, table in tables.items()}
 
@@ -117,7 +139,7 @@ def serve(spark: SparkSession, lake: LakeLayout, view: str) -> DataFrame:
 
 def check_bronze(spark: SparkSession, lake: LakeLayout, period: Period = Period()) -> dict[str, DataFrame]:
     bronze = read_bronze(spark, lake.bronze)
-    files = found_month_counts(read_table(spark, lake.bronze))
+    files = found_month_counts(read_table(spark, lake.bronze, FILE_MONTH))
     return {
         "profile": quality.table_profile(bronze),
         "schema": quality.schema_report({"bronze": bronze}, {"bronze": BRONZE_TRIPS}),
@@ -128,7 +150,7 @@ def check_bronze(spark: SparkSession, lake: LakeLayout, period: Period = Period(
 
 def check_silver(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
     """The checks on silver. Raises when a critical one fails."""
-    silver = read_table(spark, lake.silver).drop("pickup_month")
+    silver = read_silver(spark, lake.silver).drop("pickup_month")
     # One pass: the gate and the report are made of the one row that is fetched here.
     measured = quality.silver_metrics(silver)
     metrics = spark.createDataFrame(measured.collect(), measured.schema)
@@ -161,8 +183,8 @@ def check_gold(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
 def check_layers(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
     return {
         "layers": quality.layer_reconciliation(
-            read_table(spark, lake.bronze),
-            read_table(spark, lake.silver),
+            read_table(spark, lake.bronze, FILE_MONTH),
+            read_silver(spark, lake.silver, columns=SILVER_TRIPS),
             read_table(spark, lake.gold("hourly_demand")),
         )
     }

@@ -91,5 +91,9 @@ class LakeLayout:
     def rollup(self) -> str:
         return f"{self.root}/gold/activity_rollup"
 
+    @property
+    def states(self) -> str:
+        return f"{self.root}/gold/month_states"
+
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"

@@ -6,7 +6,9 @@ directories of these months: nothing is ever appended to the data of an earlier
 
 from __future__ import annotations
 
+import json
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,8 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions import month_start
+from kerbside.schemas import BRONZE_TRIPS
 from kerbside.settings import Period
 
+# Stored with every trip: Parquet keeps bounds of dates that scans skip by, of zone-free times it does not.
+DAY = "pickup_day"
+
 
 def _counted(table: DataFrame) -> tuple[DataFrame, Observation]:
     """The row count falls out of the write itself: no cache, no second pass."""
@@ -34,11 +40,86 @@ def _month_dir(path: str, column: str, month: date) -> str:
     return f"{path}/{column}={month.isoformat()}"
 
 
-def _with_strays_marked(trips: DataFrame) -> DataFrame:
-    """``stray`` is 1 for a pickup (or a missing one) outside the month of the file, else 0."""
+def _stored_months(spark: SparkSession, path: str, column: str) -> list[date]:
+    """Months that a layer has directories for: one listing, no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(date.fromisoformat(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}="))
+
+
+# Bronze: each month has the columns and types of its file -----------------------------------------------------------
+
+
+def _marked(trips: DataFrame) -> DataFrame:
+    """With ``stray``, 1 for a pickup (or a missing one) outside the month of the file, else 0, and the day of pickup.
+
+    Sorted by day within each task, so that pages hold few days and a read of some days skips the others.
+    """
     pickup, month = F.col("tpep_pickup_datetime"), F.col("source_month")
     own = (pickup >= month.cast("timestamp_ntz")) & (pickup < F.add_months(month, 1).cast("timestamp_ntz"))
-    return trips.withColumn("stray", F.when(own, 0).otherwise(1))
+    marked = trips.withColumn("stray", F.when(own, 0).otherwise(1)).withColumn(DAY, pickup.cast("date"))
+    return marked.sortWithinPartitions("source_month", "stray", DAY)
+
+
+def _schemas_path(path: str) -> str:
+    return f"{path}_schemas"
+
+
+def stored_schemas(spark: SparkSession, path: str) -> dict[date, T.StructType]:
+    """Columns of each month of bronze as they were written, from the schema table beside the layer.
+
+    A month that the table does not name (a write that ended between the data and the table) is read from one of its files.
+    """
+    try:
+        named = spark.read.schema("source_month DATE, columns STRING").json(_schemas_path(path)).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        named = []
+    known = {row["source_month"]: T.StructType.fromJson(json.loads(row["columns"])) for row in named}
+    found = {}
+    for month in _stored_months(spark, path, "source_month"):
+        schema = known.get(month) or schema_if_present(spark, _month_dir(path, "source_month", month))
+        found[month] = T.StructType([f for f in schema if f.name != "stray"])
+    return found
+
+
+def _store_schemas(spark: SparkSession, path: str, schemas: dict[date, T.StructType]) -> None:
+    rows = [(month, schema.json()) for month, schema in sorted(schemas.items())]
+    table = spark.createDataFrame(rows, "source_month DATE, columns STRING")
+    table.coalesce(1).write.mode("overwrite").json(_schemas_path(path))
+
+
+def _columns_of(marked: DataFrame) -> T.StructType:
+    return T.StructType([f for f in marked.schema if f.name not in ("stray", "source_month")])
+
+
+_WIDER = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]
+
+
+def _wide_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds both: the wider number (a whole one beside a float is a double), else text."""
+    if a == b:
+        return a
+    if a in _WIDER and b in _WIDER:
+        wide = max(a, b, key=_WIDER.index)
+        return T.DoubleType() if isinstance(wide, T.FloatType) else wide
+    kinds = {type(a), type(b)}
+    if kinds <= {T.DateType, T.TimestampNTZType}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def widened(schemas: list[T.StructType]) -> T.StructType:
+    """All columns of all schemas, by name without regard to case, in the order of their first appearance."""
+    fields: dict[str, T.StructField] = {}
+    for field in [f for schema in schemas for f in schema]:
+        seen = fields.setdefault(field.name.lower(), field)
+        fields[field.name.lower()] = T.StructField(seen.name, _wide_type(seen.dataType, field.dataType))
+    return T.StructType(list(fields.values()))
 
 
 def write_bronze(trips: DataFrame, path: str) -> int:
@@ -46,31 +127,126 @@ def write_bronze(trips: DataFrame, path: str) -> int:
 
     The file's month, not the pickup's: replacing a file must replace exactly its own rows. But every file holds a few
     stray pickups of other months, even years, which would make it useless to skip data by pickup time. So strays
-    go to a partition of their own, and a build of one month reads that month and all (few) strays.
+    go to a partition of their own, and a build of one month reads that month and the strays whose days fit.
     No shuffle: each task writes the splits it reads.
     """
-    return _store(_with_strays_marked(trips), path, "source_month", "stray")
+    marked = _marked(trips)
+    written = _store(marked, path, "source_month", "stray")
+    spark = trips.sparkSession
+    _store_schemas(spark, path, dict.fromkeys(_stored_months(spark, path, "source_month"), _columns_of(marked)))
+    return written
 
 
 def replace_bronze_month(trips: DataFrame, path: str, month: date) -> int:
-    """Store the trips of one file, replacing what bronze had from that file and nothing else."""
-    marked = _with_strays_marked(trips).drop("source_month")
-    return _store(marked, _month_dir(path, "source_month", month), "stray")
+    """Store the trips of one file, replacing what bronze had from that file and nothing else.
+
+    The month keeps its own columns and types: those of other months are not touched, nor are their files opened.
+    """
+    marked = _marked(trips)
+    written = _store(marked.drop("source_month"), _month_dir(path, "source_month", month), "stray")
+    schemas = {**stored_schemas(trips.sparkSession, path), month: _columns_of(marked)}
+    _store_schemas(trips.sparkSession, path, schemas)
+    return written
+
+
+def read_bronze(spark: SparkSession, path: str, picked_up_in: Period | None = None) -> DataFrame:
+    """Bronze trips without the columns that the layer adds, in the widest types that months have.
+
+    Months with equal columns are one scan, each by its stored schema; no footer is opened to plan it. With a period only the
+    trips picked up in it are read: its months, and the pages of strays that hold its days.
+    """
+    months: dict[str, list[date]] = {}
+    schemas = stored_schemas(spark, path)
+    for month, schema in schemas.items():
+        months.setdefault(schema.json(), []).append(month)
+    if not months:
+        return spark.createDataFrame([], BRONZE_TRIPS)
+    wide = widened(list(schemas.values()))
+    scans = []
+    for columns, of in months.items():
+        schema = T.StructType.fromJson(json.loads(columns)).add("source_month", T.DateType()).add("stray", T.IntegerType())
+        folders = [path] if len(months) == 1 else [_month_dir(path, "source_month", month) for month in of]
+        trips = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+        if picked_up_in is not None:
+            start, end = F.lit(picked_up_in.start), F.lit(picked_up_in.end)
+            own = (F.col("source_month") >= start) & (F.col("source_month") < end)
+            trips = trips.filter((F.col("stray") == 1) | own).filter((F.col(DAY) >= start) & (F.col(DAY) < end))
+        here = {f.name.lower(): f.name for f in schema}
+        scans.append(trips.select(*[F.col(here[f.name.lower()]).cast(f.dataType).alias(f.name) for f in wide if f.name.lower() in here]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans).drop(DAY)
+
+
+def aligned_with_bronze(trips: DataFrame, path: str) -> DataFrame:
+    """Columns that stored bronze has too, spelled as it has them."""
+    stored = {f.name.lower(): f.name for f in widened(list(stored_schemas(trips.sparkSession, path).values()))}
+    return trips.select(*[F.col(c).alias(stored.get(c.lower(), c)) for c in trips.columns])
+
+
+# Silver ---------------------------------------------------------------------------------------------------------
 
 
 def write_silver(trips: DataFrame, path: str) -> int:
     """Store clean trips by pickup month, replacing all of silver; returns the rows written.
 
-    ``rebalance`` gathers each month into files of the advisory size. Without it every task of the deduplication would
-    leave a small file in every month. Adaptive execution splits a month that is larger than one task.
+    Ranges of pickup times become files; adaptive execution merges small neighbours up to the advisory size, and a large month
+    is several ranges. Every file is sorted by pickup and has the day as a column, so a read of some days opens few files and
+    skips the pages of the other days.
     """
-    dated = trips.withColumn("pickup_month", month_start(F.col("pickup_datetime")))
-    return _store(dated.hint("rebalance", "pickup_month"), path, "pickup_month")
+    pickup = F.col("pickup_datetime")
+    dated = trips.withColumn(DAY, pickup.cast("date")).withColumn("pickup_month", month_start(pickup))
+    ordered = dated.repartitionByRange("pickup_datetime").sortWithinPartitions("pickup_month", "pickup_datetime")
+    return _store(ordered, path, "pickup_month")
 
 
 def replace_silver_month(trips: DataFrame, path: str, month: date) -> int:
     """Store the clean trips of one month, replacing that month and nothing else, also when none are left."""
-    return _store(trips.hint("rebalance", "pickup_datetime"), _month_dir(path, "pickup_month", month))
+    dated = trips.withColumn(DAY, F.col("pickup_datetime").cast("date"))
+    ordered = dated.repartitionByRange("pickup_datetime").sortWithinPartitions("pickup_datetime")
+    return _store(ordered, _month_dir(path, "pickup_month", month))
+
+
+def read_silver(
+    spark: SparkSession,
+    path: str,
+    start: date | None = None,
+    end: date | None = None,
+    columns: T.StructType | None = None,
+) -> DataFrame:
+    """Clean trips with ``pickup_month``; with days only those picked up from ``start`` to before ``end``.
+
+    Months outside are not listed into the scan, and inside a month Parquet's bounds skip the pages of other days. With
+    ``columns`` only these are there, and no footer is opened to plan the read.
+    """
+    added = [T.StructField(DAY, T.DateType()), T.StructField("pickup_month", T.DateType())]
+    trips = read_table(spark, path, columns and T.StructType([*columns, *added]))
+    if start is not None:
+        trips = trips.filter((F.col("pickup_month") >= F.trunc(F.lit(start), "month")) & (F.col(DAY) >= F.lit(start)))
+    if end is not None:
+        trips = trips.filter((F.col("pickup_month") < F.lit(end)) & (F.col(DAY) < F.lit(end)))
+    return trips.drop(DAY)
+
+
+# Small tables ---------------------------------------------------------------------------------------------------
+
+
+def write_by_month(table: DataFrame, path: str, column: str) -> int:
+    """Store a small table by the month in ``column``, replacing it; returns the rows written."""
+    return _store(table.repartition(column), path, column)
+
+
+def replace_months(table: DataFrame, path: str, column: str, period: Period) -> int:
+    """Store what a small table has for the months of the period, replacing these months and nothing else.
+
+    The table is computed once, for all months, into a folder beside the layer; each month is then copied to its place, also
+    when it has no rows.
+    """
+    beside = f"{path}_replaced"
+    written = write_by_month(table, beside, column)
+    stored = read_table(table.sparkSession, beside, table.schema)
+    for month in period.each_month():
+        own = stored.filter(F.col(column) == F.lit(month.start)).drop(column)
+        _store(own, _month_dir(path, column, month.start))
+    return written
 
 
 def write_table(table: DataFrame, path: str) -> int:
@@ -78,13 +254,10 @@ def write_table(table: DataFrame, path: str) -> int:
     return _store(table, path)
 
 
-def schema_if_present(spark: SparkSession, path: str, merged: bool = False) -> T.StructType | None:
-    """Schema of a Parquet file or directory, or None when there is no such path. Any other error is raised.
-
-    ``merged``: of all files together, for a table whose later files have columns that earlier ones lack.
-    """
+def schema_if_present(spark: SparkSession, path: str) -> T.StructType | None:
+    """Schema of a Parquet file or directory, or None when there is no such path. Any other error is raised."""
     try:
-        return spark.read.option("mergeSchema", merged).parquet(path).schema
+        return spark.read.parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -95,28 +268,3 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """A layer; with a schema no footer is read before the query starts."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
-
-
-def read_bronze(spark: SparkSession, path: str, picked_up_in: Period | None = None) -> DataFrame:
-    """Bronze trips without the columns that the layer adds.
-
-    Later months may have columns that earlier ones lack, so the footers are merged. With a period the scan is cut down
-    to the partitions that can hold its pickups; the rows still have to be filtered.
-    """
-    stored = spark.read.option("mergeSchema", True).parquet(path)
-    if picked_up_in is not None:
-        month = F.col("source_month")
-        own = (month >= F.lit(picked_up_in.start)) & (month < F.lit(picked_up_in.end))
-        stored = stored.filter((F.col("stray") == 1) | own)
-    return stored.drop("stray", "source_month")
-
-
-def aligned_with_bronze(trips: DataFrame, path: str) -> DataFrame:
-    """Cast the columns that stored bronze has too to its types, so that months added later stay readable with it."""
-    stored = {f.name.lower(): f for f in schema_if_present(trips.sparkSession, path, merged=True) or []}
-    return trips.select(
-        *[
-            F.col(c).cast(stored[c.lower()].dataType).alias(stored[c.lower()].name) if c.lower() in stored else F.col(c)
-            for c in trips.columns
-        ]
-    )

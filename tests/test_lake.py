@@ -17,7 +17,16 @@ from kerbside.plans import jobs
 from kerbside.registry import fixture
 from kerbside.schemas import BRONZE_TRIPS
 from kerbside.settings import GOLD_TABLES, LakeLayout, Period
-from kerbside.sources.lake import aligned_with_bronze, read_bronze, read_table, replace_bronze_month, schema_if_present
+from kerbside.sources.lake import (
+    aligned_with_bronze,
+    read_bronze,
+    read_silver,
+    read_table,
+    replace_bronze_month,
+    replace_silver_month,
+    schema_if_present,
+    stored_schemas,
+)
 from kerbside.sources.monthly_files import conform, read_monthly_files
 from kerbside.sources.zone_file import read_zones
 
@@ -79,7 +88,7 @@ def test_whole_way_through(spark, lake):
     assert jobs.build_bronze(spark, lake) == 1050
     assert same(read_bronze(spark, lake.bronze), fixture.bronze_trips(spark, SF))
     assert jobs.build_silver(spark, lake) == 764
-    silver = read_table(spark, lake.silver).drop("pickup_month")
+    silver = read_silver(spark, lake.silver).drop("pickup_month")
     assert same(silver, cleaning.clean_trips(fixture.bronze_trips(spark, SF)).select(silver.columns))
     written = jobs.build_gold(spark, lake)
     assert written["hourly_demand"] == 24 and written["popular_routes"] == 25 and written["avg_distance"] == 12
@@ -267,3 +276,107 @@ def test_a_column_of_some_months_only_keeps_bronze_readable(spark, lake):
         replace_bronze_month(aligned_with_bronze(own, lake.bronze), lake.bronze, day)
     assert dict(read_bronze(spark, lake.bronze).dtypes)["fee"] == "double"
     assert read_bronze(spark, lake.bronze).filter("fee = 5").count() == 40
+
+
+def test_columns_come_change_type_and_vanish_and_no_footer_is_opened_to_plan(spark, lake, tmp_path):
+    trips = fixture.bronze_trips(spark, SF).limit(20)
+    jobs.build_bronze(spark, lake)
+    kinds = {4: "bigint", 5: "double", 6: None, 7: "string"}
+    for month, kind in kinds.items():
+        day = date(2025, month, 1)
+        own = trips.withColumn("source_month", F.lit(day))
+        own = own.withColumn("Fee", F.lit("7.5" if kind == "string" else 7).cast(kind)) if kind else own
+        replace_bronze_month(own, lake.bronze, day)
+    schemas = stored_schemas(spark, lake.bronze)
+    assert {m.month: s["Fee"].dataType.simpleString() for m, s in schemas.items() if "Fee" in s.names} == {4: "bigint", 5: "double", 7: "string"}
+    bronze = read_bronze(spark, lake.bronze)
+    # A number beside text is text; a month without the column has nulls.
+    assert dict(bronze.dtypes)["Fee"] == "string" and bronze.filter("Fee IS NOT NULL").count() == 60
+    assert bronze.filter("CAST(Fee AS DOUBLE) = 7").count() == 40 and bronze.columns[:6] == BRONZE_TRIPS.names
+    text = bronze._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation") == 4
+    # With all footers broken planning still works: it lists files and reads the schema table.
+    for file in glob.glob(f"{lake.bronze}/**/*.parquet", recursive=True):
+        with open(file, "r+b") as out:
+            out.truncate(3)
+    assert read_bronze(spark, lake.bronze, MARCH).columns == bronze.columns
+
+
+def test_a_month_without_stored_schema_is_read_from_its_files(spark, lake):
+    jobs.build_bronze(spark, lake)
+    before = read_bronze(spark, lake.bronze)
+    schema = before.schema
+    shutil.rmtree(f"{lake.bronze}_schemas")
+    assert read_bronze(spark, lake.bronze).schema == schema and read_bronze(spark, lake.bronze).count() == 1050
+
+
+def scanned_rows(frame):
+    """Rows that came out of the scans of a query, after what Parquet's bounds skip."""
+    frame.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        run = frame._jdf.queryExecution()
+        run.toRdd().count()
+        leaves = run.executedPlan().collectLeaves()
+        return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+    finally:
+        frame.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def many_trips(spark, rows=600_000):
+    """Trips of every minute of March, in no order."""
+    start = "timestampadd(SECOND, CAST(pmod(id * 7919, 2678400) AS INT), TIMESTAMP_NTZ'2025-03-01 00:00:00')"
+    return spark.range(rows).selectExpr(
+        f"{start} AS tpep_pickup_datetime", f"timestampadd(SECOND, 600, {start}) AS tpep_dropoff_datetime",
+        "1L AS passenger_count", "CAST(1 + id % 20 AS DOUBLE) AS trip_distance", "CAST(id % 27 AS INT) AS PULocationID",
+        "CAST(id % 25 AS INT) AS DOLocationID",
+    )
+
+
+def test_a_read_of_one_day_skips_the_rest_of_the_month(spark, tmp_path):
+    trips = many_trips(spark).repartition(2)
+    replace_silver_month(cleaning.clean_trips(trips, MARCH), str(tmp_path / "silver"), MARCH.start)
+    day, following = date(2025, 3, 12), date(2025, 3, 13)
+    silver = read_silver(spark, str(tmp_path / "silver"), day, following)
+    wanted = read_silver(spark, str(tmp_path / "silver")).filter("CAST(pickup_datetime AS DATE) = DATE'2025-03-12'")
+    assert same(silver, wanted) and silver.count() > 15_000
+    month = read_silver(spark, str(tmp_path / "silver")).count()
+    assert scanned_rows(silver.select("trip_distance")) < 0.1 * month
+
+
+def test_strays_are_skipped_by_their_days(spark, tmp_path):
+    """A file of February full of pickups in March: a build of one other month reads next to nothing of it."""
+    path = str(tmp_path / "bronze")
+    trips = many_trips(spark).coalesce(2).withColumn("source_month", F.lit(date(2025, 2, 1)))
+    replace_bronze_month(trips, path, date(2025, 2, 1))
+    april = Period(date(2025, 4, 1), date(2025, 5, 1))
+    assert read_bronze(spark, path, MARCH).count() == 600_000 and read_bronze(spark, path, april).count() == 0
+    assert scanned_rows(read_bronze(spark, path, april).select("trip_distance")) == 0
+
+
+def gold_rows(spark, lake):
+    return {name: sorted(rows(table), key=repr) for name, table in jobs.read_gold(spark, lake).items()}
+
+
+def test_gold_of_a_changed_month_scans_that_month_alone(spark, built):
+    jobs.build_gold(spark, built)
+    (march,) = glob.glob(f"{built.silver}/pickup_month=2025-03-01")
+    changed = read_silver(spark, built.silver).filter("pickup_month = DATE'2025-03-01'").drop("pickup_month")
+    changed.filter("hour(pickup_datetime) < 12").write.parquet(f"{built.root}/kept")
+    kept = spark.read.parquet(f"{built.root}/kept")
+    replace_silver_month(kept, built.silver, MARCH.start)
+    full = LakeLayout(f"{built.root}/full")
+    shutil.copytree(f"{built.root}/silver", f"{full.root}/silver")
+    shutil.copytree(f"{built.root}/raw", f"{full.root}/raw")
+    jobs.build_gold(spark, full)
+    # The other months' trips are out of reach: only their states are left.
+    for folder in glob.glob(f"{built.silver}/pickup_month=*"):
+        if folder != march:
+            for file in glob.glob(f"{folder}/*.parquet"):
+                with open(file, "r+b") as out:
+                    out.truncate(3)
+    jobs.build_gold(spark, built, period=MARCH, only_these_months=True)
+    assert gold_rows(spark, built) == gold_rows(spark, full)
+    # A month without trips leaves no states behind.
+    replace_silver_month(kept.limit(0), built.silver, MARCH.start)
+    jobs.build_gold(spark, built, period=MARCH, only_these_months=True)
+    assert {r[0] for r in gold_rows(spark, built)["avg_distance"]} == {*range(1, 13)} - {3}
