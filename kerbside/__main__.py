@@ -13,6 +13,7 @@ from kerbside.settings import LakeLayout, Period
 
 CHECKS = {
     "check-bronze": jobs.check_bronze,
+    "check-rejects": jobs.check_rejects,
     "check-silver": jobs.check_silver,
     "check-gold": jobs.check_gold,
     "check-layers": jobs.check_layers,
@@ -25,7 +26,7 @@ LAYERS_DISAGREE = {"some_removed", "gold_matches_silver"}
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="kerbside", description="Trip analytics on Spark.")
-    parser.add_argument("stage", choices=["bronze", "silver", "gold", "serve", *CHECKS])
+    parser.add_argument("stage", choices=["bronze", "mark", "silver", "gold", "serve", *CHECKS])
     parser.add_argument("--lake", required=True, help="root of the lake, any Hadoop path")
     parser.add_argument("--start", type=date.fromisoformat, default=Period.start, help="first day, a first of month")
     parser.add_argument("--end", type=date.fromisoformat, default=Period.end, help="first day after the period")
@@ -45,6 +46,8 @@ def main() -> None:
     lake, period = LakeLayout(args.lake), Period(args.start, args.end)
     if args.stage == "bronze":
         print(f"bronze rows: {jobs.build_bronze(spark, lake, period, args.only_these_months)}")
+    elif args.stage == "mark":
+        print(f"marked rows: {jobs.build_marked(spark, lake, period)}")
     elif args.stage == "silver":
         print(f"silver rows: {jobs.build_silver(spark, lake, period, only_these_months=args.only_these_months)}")
     elif args.stage == "gold":

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from kerbside.operators import quality
 from kerbside.operators.cleaning import clean_trips
 from kerbside.operators.demand import BY_MONTH, gold_from_rollup, month_states, rollup_of_states
+from kerbside.operators.rejects import reject_counts, with_reject_reasons
 from kerbside.operators.views import VIEWS, dash_monthly_averages, dash_popular_routes
 from kerbside.operators.zones import zone_id_uniqueness
 from kerbside.schemas import BRONZE_TRIPS, GOLD, SILVER_TRIPS
@@ -29,6 +30,7 @@ from kerbside.sources.lake import (
     schema_if_present,
     write_bronze,
     write_by_month,
+    write_marked,
     write_silver,
     write_table,
 )
@@ -83,6 +85,19 @@ def build_silver(
     return sum(replace_silver_month(cleaned(month), lake.silver, month.start) for month in period.each_month())
 
 
+def build_marked(
+    spark: SparkSession, lake: LakeLayout, period: Period = Period(), rules: CleaningRules = CleaningRules()
+) -> int:
+    """Store every bronze trip with the reasons why cleaning would reject it, kept and rejected trips apart; returns the rows."""
+    return write_marked(with_reject_reasons(read_bronze(spark, lake.bronze), period, rules), lake.marked)
+
+
+def check_rejects(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
+    """Rejected trips by reason, from the partition of rejected trips alone."""
+    rejected = read_table(spark, lake.marked).filter("rejected = 1")
+    return {"reasons": reject_counts(rejected), "sample": quality.sample(rejected.drop("rejected"))}
+
+
 def build_gold(
     spark: SparkSession,
     lake: LakeLayout,

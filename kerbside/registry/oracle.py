@@ -200,6 +200,43 @@ def _funnel() -> str:
     )
 
 
+_REASONS = {
+    "outside_period": "pickup_datetime >= TIMESTAMP '2025-01-01' AND pickup_datetime < TIMESTAMP '2026-01-01'",
+    "duration_invalid": "duration_sec >= 0",
+    "distance_invalid": "trip_distance >= 0",
+    "duration_unusual": "duration_sec >= 60 AND duration_sec < 7200",
+    "distance_unusual": "trip_distance > 0 AND trip_distance < 30",
+}
+# Every trip of the first step, with one truth value per filter (null counts as false).
+_JUDGED = (
+    """, seen AS (
+  SELECT *, date_diff('second', pickup_datetime, dropoff_datetime) AS duration_sec FROM (
+    SELECT * REPLACE (
+      CASE WHEN date_diff('second', dropoff_datetime, pickup_datetime) BETWEEN 1 AND 59
+           THEN pickup_datetime ELSE dropoff_datetime END AS dropoff_datetime,
+      COALESCE(passenger_count, 0) AS passenger_count)
+    FROM renamed)
+), judged AS (
+  SELECT *, """
+    + ", ".join(f"COALESCE({rule}, FALSE) AS ok_{reason}" for reason, rule in _REASONS.items())
+    + " FROM seen)\n"
+)
+
+
+def _reject_reasons() -> str:
+    names = list(_REASONS)
+    return _JUDGED + "\nUNION ALL\n".join(
+        f"SELECT CAST({no} AS INTEGER) AS reason_no, '{reason}' AS reason, count(*) FILTER (WHERE NOT ok_{reason}) AS row_count, "
+        f"count(*) FILTER (WHERE {' AND '.join([*(f'ok_{n}' for n in names[:no - 1]), f'NOT ok_{reason}'])}) AS dropped_here FROM judged"
+        for no, reason in enumerate(names, start=1)
+    )
+
+
+def _rejected_trips() -> str:
+    marks = " + ".join(f"CASE WHEN ok_{reason} THEN 0 ELSE {1 << nth} END" for nth, reason in enumerate(_REASONS))
+    return f"{_JUDGED}SELECT * FROM (SELECT {_SILVER_COLUMNS}, CAST({marks} AS INTEGER) AS reject_reasons FROM judged) WHERE reject_reasons > 0"
+
+
 def _gate() -> str:
     rules = {
         "negative_duration": "duration_sec < 0",
@@ -257,6 +294,8 @@ FROM expected LEFT JOIN found USING (month) ORDER BY month"""
     ),
     "silver_clean_trips": _steps(f"SELECT {_SILVER_COLUMNS} FROM silver"),
     "silver_funnel": _steps(_funnel()),
+    "silver_reject_reasons": _steps(_reject_reasons()),
+    "silver_rejected_trips": _steps(_rejected_trips()),
     "trips_with_boroughs": _gold(f"SELECT {_SILVER_COLUMNS}, Borough, DO_Borough FROM enriched"),
     "gold_hourly_demand": _gold("SELECT hour, ride_count FROM hourly_demand ORDER BY hour"),
     "gold_demand_by_borough": _gold(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions import epoch_micros
-from kerbside.operators import cleaning, demand, quality, views
+from kerbside.operators import cleaning, demand, quality, rejects, views
 from kerbside.operators.zones import with_boroughs, zone_id_uniqueness
 from kerbside.registry import fixture
 from kerbside.schemas import BRONZE_TRIPS, GOLD, SILVER_TRIPS
@@ -151,6 +151,12 @@ QUERIES: dict[str, Query] = {
     "silver_dedup": _stage(lambda spark, sf_dir: cleaning.one_row_per_trip(_renamed(spark, sf_dir))),
     "silver_clean_trips": _stage(_silver),
     "silver_funnel": lambda spark, sf_dir: cleaning.cleaning_funnel(fixture.bronze_trips(spark, sf_dir)),
+    "silver_reject_reasons": lambda spark, sf_dir: rejects.reject_counts(
+        rejects.with_reject_reasons(fixture.bronze_trips(spark, sf_dir))
+    ),
+    "silver_rejected_trips": _stage(
+        lambda spark, sf_dir: rejects.with_reject_reasons(fixture.bronze_trips(spark, sf_dir)).filter("reject_reasons > 0")
+    ),
     # Silver to gold
     "trips_with_boroughs": _stage(_from_silver_and_zones(with_boroughs)),
     "gold_hourly_demand": hourly_demand,

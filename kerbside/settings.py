@@ -87,6 +87,10 @@ class LakeLayout:
     def silver(self) -> str:
         return f"{self.root}/silver/clean_trips"
 
+    @property
+    def marked(self) -> str:
+        return f"{self.root}/silver/marked_trips"
+
     @property
     def rollup(self) -> str:
         return f"{self.root}/gold/activity_rollup"

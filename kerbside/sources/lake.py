@@ -198,6 +198,12 @@ def write_silver(trips: DataFrame, path: str) -> int:
     return _store(ordered, path, "pickup_month")
 
 
+def write_marked(trips: DataFrame, path: str) -> int:
+    """Store trips with ``reject_reasons``, kept and rejected ones as partitions (``rejected``) of one write without a shuffle."""
+    rejected = F.when(F.col("reject_reasons") == 0, 0).otherwise(1)
+    return _store(trips.withColumn("rejected", rejected).sortWithinPartitions("rejected"), path, "rejected")
+
+
 def replace_silver_month(trips: DataFrame, path: str, month: date) -> int:
     """Store the clean trips of one month, replacing that month and nothing else, also when none are left."""
     dated = trips.withColumn(DAY, F.col("pickup_datetime").cast("date"))
