@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -34,7 +33,7 @@ PERCENT = 80
 BLOCK, DIRECT_PAIRS, PIVOTS = 512, 4096, 8
 BROADCAST_ROWS = 500_000
 # Sets whose counts one task sums up.
-COUNTED_SETS = 50_000
+COUNTED_SETS = 10_000
 
 
 def needed(n: int) -> int:
@@ -366,10 +365,10 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(BinaryType())
-def _mark(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(BinaryType())
+def _mark(texts: pa.Array) -> pa.Array:
     """The fingerprint of each text's set, as ``profiles`` has it."""
-    return texts.map(lambda t: xxhash.xxh3_128_digest(shingle_set((t or "").encode()).tobytes()))
+    return pa.array([xxhash.xxh3_128_digest(shingle_set((t or "").encode()).tobytes()) for t in texts.to_pylist()], pa.binary())
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
