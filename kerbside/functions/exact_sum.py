@@ -65,14 +65,21 @@ def _carried(sums: Column) -> Column:
     return F.aggregate(sums, start, step)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is worked out once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def total(states: Column) -> Column:
     """The nearest double to the sum of ``states``, an array of (scale, d3, d2, d1, d0); 0 for an empty array.
 
     Half-way cases go to the even double, as ``math.fsum`` does it. Sums below the normal doubles may be rounded twice.
     """
-    states = F.filter(states, lambda s: s["scale"].isNotNull())
+    return _let(F.filter(states, lambda s: s["scale"].isNotNull()), _total_of)
+
+
+def _total_of(states: Column) -> Column:
     scales = F.transform(states, lambda s: s["scale"])
-    lowest = F.array_min(scales) - (DIGITS - 1)
 
     def at(place: Column) -> Column:
         def add(done: Column, s: Column) -> Column:
@@ -82,20 +89,36 @@ def total(states: Column) -> Column:
 
         return F.aggregate(states, F.lit(0).cast("bigint"), add)
 
+    def signed(sums: Column) -> Column:
+        turned = _carried(F.transform(sums, lambda s: -s))["digits"]
+        return _let(
+            _carried(sums),
+            lambda up: F.struct(
+                (up["carry"] < 0).alias("negative"), F.when(up["carry"] < 0, turned).otherwise(up["digits"]).alias("digits")
+            ),
+        )
+
     # Three places more than the highest scale hold the carries of 2 ** 39 values.
+    lowest = F.array_min(scales) - (DIGITS - 1)
     sums = F.transform(F.sequence(lowest, F.array_max(scales) + 3), at)
-    upright, turned = _carried(sums), _carried(F.transform(sums, lambda s: -s))
-    negative = upright["carry"] < 0
-    digits = F.when(negative, turned["digits"]).otherwise(upright["digits"])
-    top = F.array_max(F.filter(F.sequence(F.lit(1), F.size(digits)), lambda i: F.element_at(digits, i) != 0))
-    # Five digits hold 97 bits or more; a one at their end stands for whatever lies below them.
-    below = F.exists(F.slice(digits, F.lit(1), F.greatest(top - 5, F.lit(0))), lambda d: d != 0)
-    leading = None
-    for place in range(4, -1, -1):
-        digit = F.coalesce(F.get(digits, top - 5 + place), F.lit(0).cast("bigint"))
-        if place == 0:
-            digit = digit.bitwiseOR(F.when(below, 1).otherwise(0).cast("bigint"))
-        part = digit.cast("decimal(8,0)") * F.lit(Decimal(1 << DIGIT_BITS * place)).cast("decimal(30,0)")
-        leading = part if leading is None else leading + part
-    rounded = _times_power_of_two(leading.cast("double"), (lowest + top - 5) * DIGIT_BITS)
-    return F.coalesce(F.when(negative, -rounded).otherwise(rounded), F.lit(0.0))
+    rounded = _let(_let(sums, signed), lambda whole: _rounded(whole, lowest))
+    return F.when(F.size(states) == 0, F.lit(0.0)).otherwise(rounded)
+
+
+def _rounded(whole: Column, lowest: Column) -> Column:
+    digits = whole["digits"]
+
+    def nearest(top: Column) -> Column:
+        # Five digits hold 97 bits or more; a one at their end stands for whatever lies below them.
+        below = F.exists(F.slice(digits, F.lit(1), F.greatest(top - 5, F.lit(0))), lambda d: d != 0)
+        leading = None
+        for place in range(4, -1, -1):
+            digit = F.coalesce(F.get(digits, top - 5 + place), F.lit(0).cast("bigint"))
+            if place == 0:
+                digit = digit.bitwiseOR(F.when(below, 1).otherwise(0).cast("bigint"))
+            part = digit.cast("decimal(8,0)") * F.lit(Decimal(1 << DIGIT_BITS * place)).cast("decimal(30,0)")
+            leading = part if leading is None else leading + part
+        value = _let((lowest + top - 5) * DIGIT_BITS, lambda e: _times_power_of_two(leading.cast("double"), e))
+        return F.coalesce(F.when(whole["negative"], -value).otherwise(value), F.lit(0.0))
+
+    return _let(F.array_max(F.filter(F.sequence(F.lit(1), F.size(digits)), lambda i: F.element_at(digits, i) != 0)), nearest)
