@@ -188,9 +188,12 @@ def gold_totals(hourly: DataFrame, borough: DataFrame, routes: DataFrame) -> Dat
 
 def layer_reconciliation(bronze: DataFrame, silver: DataFrame, hourly: DataFrame) -> DataFrame:
     """What cleaning removed, and whether gold still counts every silver row. One row."""
-    totals = _one_row(
-        {"bronze_rows": _count(bronze), "silver_rows": _count(silver), "gold_rides": _total(hourly)}
-    )
+    return reconciled(_count(bronze), _count(silver), hourly)
+
+
+def reconciled(bronze_rows: DataFrame, silver_rows: DataFrame, hourly: DataFrame) -> DataFrame:
+    """The same from numbers of rows (frames of one number) that the layers' writes have counted."""
+    totals = _one_row({"bronze_rows": bronze_rows, "silver_rows": silver_rows, "gold_rides": _total(hourly)})
     removed = F.col("bronze_rows") - F.col("silver_rows")
     return totals.select(
         "bronze_rows",
@@ -203,17 +206,23 @@ def layer_reconciliation(bronze: DataFrame, silver: DataFrame, hourly: DataFrame
     )
 
 
-def schema_report(tables: Mapping[str, DataFrame], declared: Mapping[str, T.StructType]) -> DataFrame:
+def schema_report(
+    tables: Mapping[str, DataFrame],
+    declared: Mapping[str, T.StructType],
+    profiles: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
     """(table_name, column_name, expected_type, actual_type, type_ok, null_count) for every declared or found column.
 
-    The types come from the schemas; the null counts from one pass over each table. A declared column that is missing
+    The types come from the schemas; the null counts from one pass over each table, or from its profile where one is given. A declared column that is missing
     has no actual type and no null count, and fails; a column that is not declared has no expected type and passes.
     """
     parts = None
     for name, table in tables.items():
         found = {f.name: f.dataType.simpleString() for f in table.schema}
         wanted = {f.name: f.dataType.simpleString() for f in declared[name]}
-        counted = table.agg(F.lit(True).alias("seen"), *[_nulls(c).alias(f"null_{c}") for c in found])
+        counted = (profiles or {}).get(name)
+        if counted is None:
+            counted = table.agg(F.lit(True).alias("seen"), *[_nulls(c).alias(f"null_{c}") for c in found])
         entries = []
         for column in [*wanted, *[c for c in found if c not in wanted]]:
             expected, actual = wanted.get(column), found.get(column)

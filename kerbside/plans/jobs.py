@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kerbside.operators import quality
 from kerbside.operators.cleaning import clean_trips
@@ -16,11 +15,12 @@ from kerbside.operators.demand import BY_MONTH, gold_from_rollup, month_states,
 from kerbside.operators.rejects import reject_counts, with_reject_reasons
 from kerbside.operators.views import VIEWS, dash_monthly_averages, dash_popular_routes
 from kerbside.operators.zones import zone_id_uniqueness
-from kerbside.schemas import BRONZE_TRIPS, GOLD, SILVER_TRIPS
+from kerbside.schemas import BRONZE_TRIPS, SILVER_TRIPS, gold_schemas
 from kerbside.session import size_shuffles
 from kerbside.settings import GOLD_TABLES, CleaningRules, LakeLayout, Period
 from kerbside.sources.lake import (
     aligned_with_bronze,
+    layer_measures,
     read_bronze,
     read_silver,
     read_table,
@@ -34,18 +34,11 @@ from kerbside.sources.lake import (
     write_silver,
     write_table,
 )
-from kerbside.sources.monthly_files import (
-    expected_months,
-    found_month_counts,
-    found_months,
-    read_monthly_files,
-)
+from kerbside.sources.measures import month_rows, profile_of, sample_of, total_rows
+from kerbside.sources.monthly_files import expected_months, found_months, read_monthly_files
 from kerbside.sources.zone_file import read_zones
 
 
-FILE_MONTH = T.StructType([T.StructField("source_month", T.DateType())])
-
-
 def build_bronze(
     spark: SparkSession, lake: LakeLayout, period: Period = Period(), only_these_months: bool = False
 ) -> int:
@@ -153,13 +146,15 @@ def serve(spark: SparkSession, lake: LakeLayout, view: str) -> DataFrame:
 
 
 def check_bronze(spark: SparkSession, lake: LakeLayout, period: Period = Period()) -> dict[str, DataFrame]:
+    """The checks on bronze, from what its writes have counted: no trip is read."""
     bronze = read_bronze(spark, lake.bronze)
-    files = found_month_counts(read_table(spark, lake.bronze, FILE_MONTH))
+    measures = layer_measures(spark, lake.bronze, "source_month")
+    profile = profile_of(spark, measures, bronze.columns)
     return {
-        "profile": quality.table_profile(bronze),
-        "schema": quality.schema_report({"bronze": bronze}, {"bronze": BRONZE_TRIPS}),
-        "months": quality.month_coverage(files, expected_months(spark, period)),
-        "sample": quality.sample(bronze),
+        "profile": profile,
+        "schema": quality.schema_report({"bronze": bronze}, {"bronze": BRONZE_TRIPS}, {"bronze": profile}),
+        "months": quality.month_coverage(month_rows(spark, measures), expected_months(spark, period)),
+        "sample": sample_of(spark, measures, bronze.schema),
     }
 
 
@@ -183,7 +178,7 @@ def check_gold(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
     tables = read_gold(spark, lake)
     profiled = {**tables, "demand_by_borough": quality.recheck_boroughs(tables["demand_by_borough"])}
     return {
-        "schema": quality.schema_report(tables, GOLD),
+        "schema": quality.schema_report(tables, gold_schemas(any("year" in t.columns for t in tables.values()))),
         **{f"sample of {name}": quality.sample(table) for name, table in profiled.items()},
         "nulls": quality.null_profile(profiled),
         "rows": quality.row_counts(tables),
@@ -196,10 +191,7 @@ def check_gold(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
 
 
 def check_layers(spark: SparkSession, lake: LakeLayout) -> dict[str, DataFrame]:
-    return {
-        "layers": quality.layer_reconciliation(
-            read_table(spark, lake.bronze, FILE_MONTH),
-            read_silver(spark, lake.silver, columns=SILVER_TRIPS),
-            read_table(spark, lake.gold("hourly_demand")),
-        )
-    }
+    """What cleaning removed and whether gold counts every silver trip: rows counted by the writes beside the stored gold."""
+    bronze = total_rows(spark, layer_measures(spark, lake.bronze, "source_month"))
+    silver = total_rows(spark, layer_measures(spark, lake.silver, "pickup_month"))
+    return {"layers": quality.reconciled(bronze, silver, read_table(spark, lake.gold("hourly_demand")))}

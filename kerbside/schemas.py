@@ -59,3 +59,9 @@ GOLD = {
         [T.StructField("month", T.IntegerType()), T.StructField("avg_passenger_count", T.DoubleType())]
     ),
 }
+
+
+def gold_schemas(by_year: bool) -> dict[str, T.StructType]:
+    """The six tables; where silver holds several years, each monthly one carries the year before the month."""
+    year = [T.StructField("year", T.IntegerType())] if by_year else []
+    return {name: T.StructType([*(year if "month" in schema.names else []), *schema]) for name, schema in GOLD.items()}

@@ -18,6 +18,15 @@ from pyspark.sql import types as T
 from kerbside.functions import month_start
 from kerbside.schemas import BRONZE_TRIPS
 from kerbside.settings import Period
+from kerbside.sources.measures import (
+    MonthMeasures,
+    by_month,
+    measured,
+    measured_columns,
+    no_rows,
+    store_measures,
+    stored_measures,
+)
 
 # Stored with every trip: Parquet keeps bounds of dates that scans skip by, of zone-free times it does not.
 DAY = "pickup_day"
@@ -36,6 +45,41 @@ def _store(table: DataFrame, path: str, *partitioned_by: str) -> int:
     return seen.get["rows"]
 
 
+def _store_measured(
+    table: DataFrame, path: str, month: str, columns: list[str], only: date | None = None, *partitioned_by: str
+) -> int:
+    """Store a layer, or ``only`` one month of it, and beside it what the write has counted; returns the rows written."""
+    spark = table.sparkSession
+    others = {} if only is None else {m: seen for m, seen in stored_measures(spark, path).items() if m != only}
+    store_measures(spark, path, others)
+    seen = Observation()
+    counted = table.observe(seen, *measured_columns(F.col(month) if only is None else F.lit(only), columns))
+    writer = counted.drop(month).write if only else counted.write
+    (writer.mode("overwrite").partitionBy(*partitioned_by) if partitioned_by else writer.mode("overwrite")).parquet(
+        path if only is None else _month_dir(path, month, only)
+    )
+    found = by_month(seen.get, columns)
+    store_measures(spark, path, {**others, **({only: no_rows(columns)} if only else {}), **found})
+    return seen.get["rows"]
+
+
+def layer_measures(spark: SparkSession, path: str, column: str) -> dict[date, MonthMeasures]:
+    """Counts of every month of a layer (``column`` names its month) as its writes have stored them.
+
+    Nothing of the layer is read, but for months whose write stored no counts (it ended half-way): these are scanned.
+    """
+    stored = stored_measures(spark, path)
+    found = {}
+    for month in _stored_months(spark, path, column):
+        if month not in stored:
+            folder = _month_dir(path, column, month)
+            schema = _schema_of_files(spark, folder)
+            columns = [c for c in schema.names if c not in ("stray", DAY)]
+            stored[month] = measured(spark.read.schema(schema).parquet(folder), month, columns) if columns else no_rows([])
+        found[month] = stored[month]
+    return found
+
+
 def _month_dir(path: str, column: str, month: date) -> str:
     return f"{path}/{column}={month.isoformat()}"
 
@@ -68,6 +112,16 @@ def _schemas_path(path: str) -> str:
     return f"{path}_schemas"
 
 
+def _schema_of_files(spark: SparkSession, folder: str) -> T.StructType:
+    """Columns of the files of a month; none where a write of no rows has left no file."""
+    try:
+        return schema_if_present(spark, folder) or T.StructType()
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return T.StructType()
+
+
 def stored_schemas(spark: SparkSession, path: str) -> dict[date, T.StructType]:
     """Columns of each month of bronze as they were written, from the schema table beside the layer.
 
@@ -82,7 +136,7 @@ def stored_schemas(spark: SparkSession, path: str) -> dict[date, T.StructType]:
     known = {row["source_month"]: T.StructType.fromJson(json.loads(row["columns"])) for row in named}
     found = {}
     for month in _stored_months(spark, path, "source_month"):
-        schema = known.get(month) or schema_if_present(spark, _month_dir(path, "source_month", month))
+        schema = known.get(month) or _schema_of_files(spark, _month_dir(path, "source_month", month))
         found[month] = T.StructType([f for f in schema if f.name != "stray"])
     return found
 
@@ -131,7 +185,7 @@ def write_bronze(trips: DataFrame, path: str) -> int:
     No shuffle: each task writes the splits it reads.
     """
     marked = _marked(trips)
-    written = _store(marked, path, "source_month", "stray")
+    written = _store_measured(marked, path, "source_month", _columns_of(trips).names, None, "source_month", "stray")
     spark = trips.sparkSession
     _store_schemas(spark, path, dict.fromkeys(_stored_months(spark, path, "source_month"), _columns_of(marked)))
     return written
@@ -143,7 +197,7 @@ def replace_bronze_month(trips: DataFrame, path: str, month: date) -> int:
     The month keeps its own columns and types: those of other months are not touched, nor are their files opened.
     """
     marked = _marked(trips)
-    written = _store(marked.drop("source_month"), _month_dir(path, "source_month", month), "stray")
+    written = _store_measured(marked, path, "source_month", _columns_of(trips).names, month, "stray")
     schemas = {**stored_schemas(trips.sparkSession, path), month: _columns_of(marked)}
     _store_schemas(trips.sparkSession, path, schemas)
     return written
@@ -195,7 +249,7 @@ def write_silver(trips: DataFrame, path: str) -> int:
     pickup = F.col("pickup_datetime")
     dated = trips.withColumn(DAY, pickup.cast("date")).withColumn("pickup_month", month_start(pickup))
     ordered = dated.repartitionByRange("pickup_datetime").sortWithinPartitions("pickup_month", "pickup_datetime")
-    return _store(ordered, path, "pickup_month")
+    return _store_measured(ordered, path, "pickup_month", trips.columns, None, "pickup_month")
 
 
 def write_marked(trips: DataFrame, path: str) -> int:
@@ -208,7 +262,7 @@ def replace_silver_month(trips: DataFrame, path: str, month: date) -> int:
     """Store the clean trips of one month, replacing that month and nothing else, also when none are left."""
     dated = trips.withColumn(DAY, F.col("pickup_datetime").cast("date"))
     ordered = dated.repartitionByRange("pickup_datetime").sortWithinPartitions("pickup_datetime")
-    return _store(ordered, _month_dir(path, "pickup_month", month))
+    return _store_measured(ordered, path, "pickup_month", trips.columns, month)
 
 
 def read_silver(

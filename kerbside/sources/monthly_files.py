@@ -66,11 +66,6 @@ def read_monthly_files(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), months)
 
 
-def found_month_counts(bronze: DataFrame) -> DataFrame:
-    """(month, row_count) per file month."""
-    return bronze.groupBy(F.date_format("source_month", "yyyy-MM").alias("month")).agg(F.count("*").alias("row_count"))
-
-
 def pickup_month_counts(bronze: DataFrame) -> DataFrame:
     """(month, row_count) per month of pickup, for trips that do not come in monthly files."""
     month = F.date_format(F.col("tpep_pickup_datetime").cast("date"), "yyyy-MM")
