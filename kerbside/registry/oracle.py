@@ -413,3 +413,23 @@ SELECT CAST(sum(copies) AS BIGINT) AS zone_rows, count(*) AS distinct_ids,
        count(*) FILTER (WHERE copies > 1) AS repeated_ids, count(*) FILTER (WHERE copies > 1) = 0 AS is_unique
 FROM per_id""",
 }
+
+# Files hold the trips of their month of pickup, the first one also those of no month. Counts that writes have stored must be
+# those of the trips, and a stored table must be what its query gives.
+ORACLE["lake_file_coverage"] = _bronze(
+    """, files AS (
+  SELECT CASE WHEN tpep_pickup_datetime >= TIMESTAMP '2025-01-01' AND tpep_pickup_datetime < TIMESTAMP '2026-01-01'
+              THEN strftime(tpep_pickup_datetime, '%Y-%m') ELSE '2025-01' END AS month
+  FROM trips
+), found AS (
+  SELECT month, count(*) AS row_count FROM files GROUP BY 1
+), expected AS (
+  SELECT strftime(m, '%Y-%m') AS month
+  FROM generate_series(TIMESTAMP '2025-01-01', TIMESTAMP '2026-02-01', INTERVAL 1 MONTH) AS s(m)
+)
+SELECT month, COALESCE(row_count, 0) AS row_count, row_count IS NULL AS missing
+FROM expected LEFT JOIN found USING (month) ORDER BY month"""
+)
+ORACLE["lake_bronze_profile"] = ORACLE["bronze_profile"]
+ORACLE["lake_layer_reconciliation"] = ORACLE["dq_layer_reconciliation"]
+ORACLE["lake_popular_routes"] = ORACLE["gold_popular_routes"]

@@ -12,6 +12,7 @@ from kerbside.functions import epoch_micros
 from kerbside.operators import cleaning, demand, quality, rejects, views
 from kerbside.operators.zones import with_boroughs, zone_id_uniqueness
 from kerbside.registry import fixture
+from kerbside.registry.stored_lake import LAKE_QUERIES
 from kerbside.schemas import BRONZE_TRIPS, GOLD, SILVER_TRIPS
 from kerbside.sources.monthly_files import expected_months, pickup_month_counts
 
@@ -189,4 +190,6 @@ QUERIES: dict[str, Query] = {
     "dq_layer_reconciliation": layer_reconciliation,
     "dq_schema_report": schema_report,
     "dq_zone_id_unique": lambda spark, sf_dir: zone_id_uniqueness(fixture.zones(spark, sf_dir)),
+    # Over stored layers, built from monthly files
+    **LAKE_QUERIES,
 }
