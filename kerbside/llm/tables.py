@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -53,6 +54,14 @@ def pick(frame: DataFrame, *names: str) -> DataFrame:
     return frame.select(*[F.col(f"`{name}`") for name in names])
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system: Spark keeps idle workers, and an executor's limit counts them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other libraries than glibc have none
+    if trim:
+        trim(0)
+
+
 def id_and_bytes(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, texts as UTF-8) of a (doc_id, text) stream in pieces of about ``most_bytes``; a null text is empty."""
     for batch in batches:
@@ -61,3 +70,5 @@ def id_and_bytes(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -
         for at in range(0, batch.num_rows, rows):
             ids = batch.column(0).slice(at, rows).to_pylist()
             yield ids, [x or b"" for x in texts.slice(at, rows).to_pylist()]
+    batch = texts = ids = None
+    give_back()
