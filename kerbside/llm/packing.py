@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.tables import id_and_bytes, stored
+from kerbside.llm.tables import give_back, id_and_bytes, stored
 from kerbside.llm.tokens import ids_of_words, public_path, word_encoder
 
 CAPACITY = 4096
@@ -45,6 +45,8 @@ def document_pieces(docs: DataFrame, path: str | None = None, capacity: int = CA
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        encoder.start_anew()  # a worker that waits for its next task keeps no pieces
+        give_back()
 
     whole = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return whole.mapInArrow(cut, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")

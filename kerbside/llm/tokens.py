@@ -63,10 +63,14 @@ class Encoder(dict):
     def whole(self, text: str) -> bytes | int:
         return self.value(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def start_anew(self) -> None:
+        """Keep the frequent pieces only."""
+        self.clear()
+        self.update(self.frequent)
+
     def __missing__(self, piece: bytes) -> bytes | int:
         if len(self) >= CACHED_PIECES:
-            self.clear()
-            self.update(self.frequent)
+            self.start_anew()
         text = piece.decode()
         if not piece or b"<|" in piece or not PLAIN.fullmatch(text):
             done = self.whole(self.before + text)
