@@ -32,6 +32,8 @@ PERCENT = 80
 # Documents in a block, on either side; pairs that a cell compares without further pivots.
 BLOCK, DIRECT_PAIRS, PIVOTS = 512, 4096, 8
 BROADCAST_ROWS = 500_000
+# Bytes of text that a worker takes at a time: about ten times as much is its memory.
+BATCH_BYTES = 8 << 20
 # Sets whose counts one task sums up.
 COUNTED_SETS = 10_000
 
@@ -69,14 +71,15 @@ def profiles(docs: DataFrame, parts: int) -> DataFrame:
                 low.append((mark & (1 << 64) - 1) - (1 << 63))
                 if len(s) and mark not in seen:
                     seen.add(mark)
-                    first = s[: first_shingles(len(s))[0]]
+                    first = s[: first_shingles(len(s))[0]].copy()
                     shown.append(first)
-                    owners.append(np.full(len(first), high[-1], np.int64))
+                    owners.append(high[-1])
             docs_part = [ids, pa.array(keys_of, pa.int64()), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64())]
             yield _rows(docs_part, pa.array([-1] * len(ids), pa.int32()), None, None)
             if not shown:
                 continue
-            keys, own = np.concatenate(shown), np.concatenate(owners)
+            keys, own = np.concatenate(shown), np.repeat(np.array(owners, np.int64), [len(x) for x in shown])
+            texts = shown = None
             order = np.argsort(keys, kind="stable")
             keys, own = keys[order], own[order]
             again = np.r_[False, keys[1:] == keys[:-1]]
@@ -86,9 +89,10 @@ def profiles(docs: DataFrame, parts: int) -> DataFrame:
             yield _rows([none, none, pa.array(times, pa.int64()), pa.array(who, pa.int64()), none], pa.array([-2] * len(who), pa.int32()), None, None)
             own = np.where(common, 0, own)[~again]
             keys = keys[~again]
-            part = (keys % np.uint64(parts)).astype(np.int64)
+            part = (keys % np.uint64(parts)).astype(np.int32)
             order = np.argsort(part, kind="stable")
             keys, own, part = keys[order], own[order], part[order]
+            again = common = order = None
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             ends = np.r_[cuts[1:], len(part)]
             none = pa.nulls(len(cuts), pa.int64())
@@ -112,7 +116,7 @@ def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, lis
     """(doc_ids, texts, keys) of a (key, text, doc_id) stream."""
     for batch in batches:
         at = 0
-        for keys, texts in id_and_bytes([batch], 16 << 20):
+        for keys, texts in id_and_bytes([batch], BATCH_BYTES):
             yield batch.column(2).slice(at, len(keys)), texts, keys
             at += len(keys)
 

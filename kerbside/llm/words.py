@@ -8,8 +8,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-# Words that one worker remembers; at about 130 bytes each this bounds its memory.
-CACHED_WORDS = 700_000
+# Words that one worker remembers; at about 130 bytes each this bounds its memory, also while it is idle.
+CACHED_WORDS = 1 << 17
 # One odd multiplier per place in a shingle (fixed values from the digits of pi and e).
 PLACES = np.array(
     [0x243F6A8885A308D3, 0x13198A2E03707345, 0xA4093822299F31D1, 0x082EFA98EC4E6C89, 0x452821E638D01377,
