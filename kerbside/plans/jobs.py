@@ -35,7 +35,7 @@ from kerbside.sources.lake import (
     write_table,
 )
 from kerbside.sources.measures import month_rows, profile_of, sample_of, total_rows
-from kerbside.sources.monthly_files import expected_months, found_months, read_monthly_files
+from kerbside.sources.monthly_files import expected_months, found_months, read_monthly_files, scan_months
 from kerbside.sources.zone_file import read_zones
 
 
@@ -51,7 +51,8 @@ def build_bronze(
         raise FileNotFoundError(f"no raw file for {missing} under {lake.raw}; bronze is unchanged")
     written = 0
     for month in period.each_month():
-        trips = aligned_with_bronze(read_monthly_files(spark, lake.raw, month), lake.bronze)
+        name = month.months[0]
+        trips = aligned_with_bronze(scan_months(spark, lake.raw, {name: present[name]}), lake.bronze)
         written += replace_bronze_month(trips, lake.bronze, month.start)
     return written
 

@@ -5,8 +5,10 @@ import json
 import shutil
 import subprocess
 import sys
-from datetime import date
+from datetime import date, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import ROOT, rows
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from kerbside.sources.lake import (
     schema_if_present,
     stored_schemas,
 )
-from kerbside.sources.monthly_files import conform, read_monthly_files
+from kerbside.sources.monthly_files import conform, found_months, read_monthly_files
 from kerbside.sources.zone_file import read_zones
 
 SF = "/root/testdata/sf0.001"
@@ -380,3 +382,57 @@ def test_gold_of_a_changed_month_scans_that_month_alone(spark, built):
     replace_silver_month(kept.limit(0), built.silver, MARCH.start)
     jobs.build_gold(spark, built, period=MARCH, only_these_months=True)
     assert {r[0] for r in gold_rows(spark, built)["avg_distance"]} == {*range(1, 13)} - {3}
+
+
+def many_months(folder, months, parts_of=()):
+    """A file of two trips per month, whose ids are long until the middle of the months and int from there on."""
+    for n, month in enumerate(months):
+        kind = pa.int64() if n < len(months) // 2 else pa.int32()
+        pickup = datetime.fromisoformat(f"{month}-02")
+        table = pa.table(
+            {
+                "tpep_pickup_datetime": pa.array([pickup, pickup], pa.timestamp("us")),
+                "tpep_dropoff_datetime": pa.array([pickup, pickup], pa.timestamp("us")),
+                "passenger_count": pa.array([n, None], pa.float64()),
+                "trip_distance": pa.array([1.0, 2.0]),
+                "PULocationID": pa.array([n, n], kind),
+                "DOLocationID": pa.array([1, 2], kind),
+            }
+        )
+        path = folder / f"yellow_tripdata_{month}.parquet"
+        if month in parts_of:
+            path.mkdir()
+            for part in (0, 1):
+                pq.write_table(table.slice(part, 1), path / f"part-{part}.parquet")
+        else:
+            pq.write_table(table, path)
+
+
+def test_two_hundred_months_of_two_kinds(spark, tmp_path):
+    period = Period(date(2009, 1, 1), date(2025, 9, 1))
+    folder = tmp_path / "a yellow_tripdata_2001-01 b"
+    folder.mkdir()
+    many_months(folder, period.months, parts_of=("2009-03", "2025-08"))
+    read = read_monthly_files(spark, str(folder), period)
+    assert len(period.months) == 200
+    assert dict(read.dtypes)["PULocationID"] == BRONZE_TRIPS["PULocationID"].dataType.simpleString()
+    seen = read.groupBy("source_month").agg(F.count("*"), F.min("PULocationID"), F.max("PULocationID"))
+    expected = [(date.fromisoformat(f"{month}-01"), 2, n, n) for n, month in enumerate(period.months)]
+    assert sorted(rows(seen)) == expected
+    # One month more, with a column of its own; the month between is absent.
+    extra = Period(date(2009, 1, 1), date(2025, 12, 1))
+    odd = pq.read_table(folder / "yellow_tripdata_2009-01.parquet").append_column("airport_fee", pa.array([1.25, None]))
+    pq.write_table(odd, folder / "yellow_tripdata_2025-10.parquet")
+    assert list(found_months(spark, str(folder), extra)) == [*period.months, "2025-10"]
+    wider = read_monthly_files(spark, str(folder), extra)
+    assert wider.count() == 402
+    assert rows(wider.filter("airport_fee IS NOT NULL").select("source_month", "airport_fee")) == [(date(2025, 10, 1), 1.25)]
+
+
+def test_a_month_without_a_needed_column_is_an_error_beside_whole_ones(spark, tmp_path):
+    period = Period(date(2025, 1, 1), date(2025, 5, 1))
+    many_months(tmp_path, period.months)
+    broken = tmp_path / "yellow_tripdata_2025-03.parquet"
+    pq.write_table(pq.read_table(broken).drop_columns(["trip_distance"]), broken)
+    with pytest.raises(ValueError, match="trip_distance"):
+        read_monthly_files(spark, str(tmp_path), period)
