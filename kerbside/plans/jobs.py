@@ -24,9 +24,9 @@ from kerbside.sources.lake import (
     read_bronze,
     read_silver,
     read_table,
-    replace_bronze_month,
+    replace_bronze_months,
     replace_months,
-    replace_silver_month,
+    replace_silver_months,
     schema_if_present,
     write_bronze,
     write_by_month,
@@ -49,12 +49,11 @@ def build_bronze(
     missing = [month.months[0] for month in period.each_month() if month.months[0] not in present]
     if missing:
         raise FileNotFoundError(f"no raw file for {missing} under {lake.raw}; bronze is unchanged")
-    written = 0
-    for month in period.each_month():
-        name = month.months[0]
-        trips = aligned_with_bronze(scan_months(spark, lake.raw, {name: present[name]}), lake.bronze)
-        written += replace_bronze_month(trips, lake.bronze, month.start)
-    return written
+    trips = {
+        month.start: aligned_with_bronze(scan_months(spark, lake.raw, {month.months[0]: present[month.months[0]]}), lake.bronze)
+        for month in period.each_month()
+    }
+    return replace_bronze_months(trips, lake.bronze)
 
 
 def build_silver(
@@ -66,8 +65,8 @@ def build_silver(
 ) -> int:
     """Store the clean trips of the period; returns the rows written.
 
-    A full build is one job for all months. A partial one has a job per month, each of which scans little
-    more than that month; months are disjoint by pickup, which is part of the trip key, so the rows are the same.
+    A full build is one job for all months. A partial one has a job per month, several at a time, each of which scans
+    little more than that month; months are disjoint by pickup, which is part of the trip key, so the rows are the same.
     """
 
     def cleaned(span: Period) -> DataFrame:
@@ -76,7 +75,7 @@ def build_silver(
     size_shuffles(spark, lake.bronze)
     if not only_these_months:
         return write_silver(cleaned(period), lake.silver)
-    return sum(replace_silver_month(cleaned(month), lake.silver, month.start) for month in period.each_month())
+    return replace_silver_months({month.start: cleaned(month) for month in period.each_month()}, lake.silver)
 
 
 def build_marked(

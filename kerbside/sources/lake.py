@@ -7,6 +7,7 @@ directories of these months: nothing is ever appended to the data of an earlier
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -14,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from kerbside.functions import month_start
 from kerbside.schemas import BRONZE_TRIPS
@@ -30,6 +32,8 @@ from kerbside.sources.measures import (
 
 # Stored with every trip: Parquet keeps bounds of dates that scans skip by, of zone-free times it does not.
 DAY = "pickup_day"
+# Months that a partial build writes at the same time: a job each, so that one month's last tasks leave no executor idle.
+MONTHS_AT_ONCE = 8
 
 
 def _counted(table: DataFrame) -> tuple[DataFrame, Observation]:
@@ -45,24 +49,44 @@ def _store(table: DataFrame, path: str, *partitioned_by: str) -> int:
     return seen.get["rows"]
 
 
-def _store_measured(
-    table: DataFrame, path: str, month: str, columns: list[str], only: date | None = None, *partitioned_by: str
-) -> int:
-    """Store a layer, or ``only`` one month of it, and beside it what the write has counted; returns the rows written."""
+def _store_measured(table: DataFrame, path: str, month: str, columns: list[str], *partitioned_by: str) -> int:
+    """Store a layer, and beside it what the write has counted; returns the rows written."""
     spark = table.sparkSession
-    others = {} if only is None else {m: seen for m, seen in stored_measures(spark, path).items() if m != only}
-    store_measures(spark, path, others)
+    store_measures(spark, path, {})
     seen = Observation()
-    counted = table.observe(seen, *measured_columns(F.col(month) if only is None else F.lit(only), columns))
-    writer = counted.drop(month).write if only else counted.write
-    (writer.mode("overwrite").partitionBy(*partitioned_by) if partitioned_by else writer.mode("overwrite")).parquet(
-        path if only is None else _month_dir(path, month, only)
-    )
-    found = by_month(seen.get, columns)
-    store_measures(spark, path, {**others, **({only: no_rows(columns)} if only else {}), **found})
+    counted = table.observe(seen, *measured_columns(F.col(month), columns))
+    counted.write.mode("overwrite").partitionBy(*partitioned_by).parquet(path)
+    store_measures(spark, path, by_month(seen.get, columns))
     return seen.get["rows"]
 
 
+def _replace_measured(
+    months: dict[date, DataFrame], path: str, month: str, columns: dict[date, list[str]], *partitioned_by: str
+) -> int:
+    """Store some months of a layer, ``MONTHS_AT_ONCE`` at a time, and once all are there what their writes have counted.
+
+    Each month replaces its own directory. Counts of these months are taken away first: after a failure the months that were
+    written are scanned for their counts, and all can be replaced again. Returns the rows written.
+    """
+    if not months:
+        return 0
+    spark = next(iter(months.values())).sparkSession
+    others = {m: seen for m, seen in stored_measures(spark, path).items() if m not in months}
+    store_measures(spark, path, others)
+
+    def replaced(only: date) -> tuple[int, dict[date, MonthMeasures]]:
+        seen = Observation()
+        counted = months[only].observe(seen, *measured_columns(F.lit(only), columns[only])).drop(month)
+        writer = counted.write.mode("overwrite")
+        (writer.partitionBy(*partitioned_by) if partitioned_by else writer).parquet(_month_dir(path, month, only))
+        return seen.get["rows"], {only: no_rows(columns[only]), **by_month(seen.get, columns[only])}
+
+    with ThreadPoolExecutor(MONTHS_AT_ONCE) as pool:
+        written = list(pool.map(inheritable_thread_target(spark)(replaced), months))
+    store_measures(spark, path, reduce(lambda a, b: {**a, **b}, [found for _, found in written], others))
+    return sum(rows for rows, _ in written)
+
+
 def layer_measures(spark: SparkSession, path: str, column: str) -> dict[date, MonthMeasures]:
     """Counts of every month of a layer (``column`` names its month) as its writes have stored them.
 
@@ -185,24 +209,32 @@ def write_bronze(trips: DataFrame, path: str) -> int:
     No shuffle: each task writes the splits it reads.
     """
     marked = _marked(trips)
-    written = _store_measured(marked, path, "source_month", _columns_of(trips).names, None, "source_month", "stray")
+    written = _store_measured(marked, path, "source_month", _columns_of(trips).names, "source_month", "stray")
     spark = trips.sparkSession
     _store_schemas(spark, path, dict.fromkeys(_stored_months(spark, path, "source_month"), _columns_of(marked)))
     return written
 
 
-def replace_bronze_month(trips: DataFrame, path: str, month: date) -> int:
-    """Store the trips of one file, replacing what bronze had from that file and nothing else.
+def replace_bronze_months(trips: dict[date, DataFrame], path: str) -> int:
+    """Store the trips of the files of some months, replacing what bronze had from these files and nothing else.
 
-    The month keeps its own columns and types: those of other months are not touched, nor are their files opened.
+    Each month keeps its own columns and types: those of other months are not touched, nor are their files opened.
     """
-    marked = _marked(trips)
-    written = _store_measured(marked, path, "source_month", _columns_of(trips).names, month, "stray")
-    schemas = {**stored_schemas(trips.sparkSession, path), month: _columns_of(marked)}
-    _store_schemas(trips.sparkSession, path, schemas)
+    if not trips:
+        return 0
+    marked = {month: _marked(of) for month, of in trips.items()}
+    names = {month: _columns_of(of).names for month, of in trips.items()}
+    written = _replace_measured(marked, path, "source_month", names, "stray")
+    spark = next(iter(trips.values())).sparkSession
+    _store_schemas(spark, path, {**stored_schemas(spark, path), **{month: _columns_of(of) for month, of in marked.items()}})
     return written
 
 
+def replace_bronze_month(trips: DataFrame, path: str, month: date) -> int:
+    """``replace_bronze_months`` for one file."""
+    return replace_bronze_months({month: trips}, path)
+
+
 def read_bronze(spark: SparkSession, path: str, picked_up_in: Period | None = None) -> DataFrame:
     """Bronze trips without the columns that the layer adds, in the widest types that months have.
 
@@ -249,7 +281,7 @@ def write_silver(trips: DataFrame, path: str) -> int:
     pickup = F.col("pickup_datetime")
     dated = trips.withColumn(DAY, pickup.cast("date")).withColumn("pickup_month", month_start(pickup))
     ordered = dated.repartitionByRange("pickup_datetime").sortWithinPartitions("pickup_month", "pickup_datetime")
-    return _store_measured(ordered, path, "pickup_month", trips.columns, None, "pickup_month")
+    return _store_measured(ordered, path, "pickup_month", trips.columns, "pickup_month")
 
 
 def write_marked(trips: DataFrame, path: str) -> int:
@@ -258,11 +290,20 @@ def write_marked(trips: DataFrame, path: str) -> int:
     return _store(trips.withColumn("rejected", rejected).sortWithinPartitions("rejected"), path, "rejected")
 
 
+def replace_silver_months(trips: dict[date, DataFrame], path: str) -> int:
+    """Store the clean trips of some months, replacing these months and nothing else, also when none are left."""
+
+    def ordered(month: DataFrame) -> DataFrame:
+        dated = month.withColumn(DAY, F.col("pickup_datetime").cast("date"))
+        return dated.repartitionByRange("pickup_datetime").sortWithinPartitions("pickup_datetime")
+
+    names = {month: of.columns for month, of in trips.items()}
+    return _replace_measured({month: ordered(of) for month, of in trips.items()}, path, "pickup_month", names)
+
+
 def replace_silver_month(trips: DataFrame, path: str, month: date) -> int:
-    """Store the clean trips of one month, replacing that month and nothing else, also when none are left."""
-    dated = trips.withColumn(DAY, F.col("pickup_datetime").cast("date"))
-    ordered = dated.repartitionByRange("pickup_datetime").sortWithinPartitions("pickup_datetime")
-    return _store_measured(ordered, path, "pickup_month", trips.columns, month)
+    """``replace_silver_months`` for one month."""
+    return replace_silver_months({month: trips}, path)
 
 
 def read_silver(

@@ -21,11 +21,13 @@ from kerbside.schemas import BRONZE_TRIPS
 from kerbside.settings import GOLD_TABLES, LakeLayout, Period
 from kerbside.sources.lake import (
     aligned_with_bronze,
+    layer_measures,
     read_bronze,
     read_silver,
     read_table,
     replace_bronze_month,
     replace_silver_month,
+    replace_silver_months,
     schema_if_present,
     stored_schemas,
 )
@@ -436,3 +438,34 @@ def test_a_month_without_a_needed_column_is_an_error_beside_whole_ones(spark, tm
     pq.write_table(pq.read_table(broken).drop_columns(["trip_distance"]), broken)
     with pytest.raises(ValueError, match="trip_distance"):
         read_monthly_files(spark, str(tmp_path), period)
+
+
+def test_several_months_are_replaced_at_once(spark, built):
+    before = read_table(spark, built.silver).cache()
+    assert before.count() == 764
+    counts = {m: seen.counts["rows"] for m, seen in layer_measures(spark, built.silver, "pickup_month").items()}
+    spring = Period(date(2025, 2, 1), date(2025, 6, 1))
+    in_spring = sum(n for month, n in counts.items() if spring.start <= month < spring.end)
+    bronze = {m: seen.counts["rows"] for m, seen in layer_measures(spark, built.bronze, "source_month").items()}
+    assert jobs.build_bronze(spark, built, spring, only_these_months=True) == sum(
+        n for month, n in bronze.items() if spring.start <= month < spring.end
+    )
+    assert jobs.build_silver(spark, built, spring, only_these_months=True) == in_spring > 0
+    assert same(read_table(spark, built.silver), before)
+    assert {m: seen.counts["rows"] for m, seen in layer_measures(spark, built.silver, "pickup_month").items()} == counts
+    assert {m: seen.counts["rows"] for m, seen in layer_measures(spark, built.bronze, "source_month").items()} == bronze
+    before.unpersist()
+
+
+def test_a_month_that_fails_leaves_the_others_whole(spark, built):
+    months = {m: read_silver(spark, built.silver).filter(F.month("pickup_datetime") == m).drop("pickup_month") for m in (2, 3)}
+    counted = {m: trips.count() for m, trips in months.items()}
+    copies = {m: spark.createDataFrame(trips.collect(), trips.schema) for m, trips in months.items()}
+    broken = copies[3].withColumn("trip_distance", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        replace_silver_months({date(2025, 2, 1): copies[2], date(2025, 3, 1): broken}, built.silver)
+    assert layer_measures(spark, built.silver, "pickup_month")[date(2025, 2, 1)].counts["rows"] == counted[2]
+    assert replace_silver_months({date(2025, 2, 1): copies[2], date(2025, 3, 1): copies[3]}, built.silver) == sum(counted.values())
+    stored = layer_measures(spark, built.silver, "pickup_month")
+    assert stored[date(2025, 3, 1)].counts["rows"] == counted[3] and stored[date(2025, 2, 1)].counts["rows"] == counted[2]
+    assert read_silver(spark, built.silver).filter(F.month("pickup_datetime") == 3).count() == counted[3]
