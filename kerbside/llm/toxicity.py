@@ -1,14 +1,17 @@
 """Toxic passages as maximum-scoring segments of token log-odds, calibrated by extreme values.
 
 Log-odds of a token compare its counts in toxic and other labelled documents, with the counts of both as an informative
-Dirichlet prior, and are divided by their standard deviation. Scores of ordinary tokens are negative on average, so sums over
-passages are local. One linear scan finds every maximal segment; a segment's score S counts by how unlikely the best of a
-text of n tokens is to reach it by chance, which falls as n * exp(-lambda * S).
+Dirichlet prior. Copies of a document count once, and only tokens whose counts differ by more than the chance of all tokens
+together allows have a score. Scores of ordinary tokens are negative on average, so sums over passages are local. One linear
+scan finds every maximal segment; a segment's score S counts by how unlikely the best of a text of n tokens is to reach it
+by chance, which falls as n * exp(-lambda * S).
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,15 +19,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.tables import id_and_bytes, stored
+from kerbside.llm.tables import forget, id_and_bytes, stored
 
 # The classifier is fitted on at most about this many labelled documents (by the hash of their ids, per label).
 FITTED_DOCUMENTS = 20_000
-# Tokens with a score of their own: at most so many, seen in so many documents, so many standard deviations away.
-SCORED_TOKENS, LEAST_DOCUMENTS, LEAST_DEVIATIONS = 100_000, 3, 2.5
+# Tokens with a score of their own: at most so many, seen in so many documents; so many of them by chance, as expected.
+SCORED_TOKENS, LEAST_DOCUMENTS, CHANCE_TOKENS = 100_000, 3, 0.05
+# Copies are found by bands of least hashes over runs of so many tokens: 0.999 of those that share 0.8 of their runs, 0.74 of
+# those that share half of them, 0.08 of those that share a fifth.
+RUN_TOKENS, COPY_BANDS, BAND_HASHES = 5, 10, 3
 # Bytes of the stems that stand in for a word without a score, longest first.
 STEMS = (7, 6, 5, 4)
 PRIOR_WEIGHT, SIGNIFICANT = 10.0, 0.05
+# Evidence beyond this adds nothing to a score.
+MOST_EVIDENCE = 60.0
 # Words are runs of ASCII letters and digits, of characters above ASCII, and of exclamation marks with what they follow.
 _WORD_BYTES = bytes(b if chr(b).isascii() and chr(b).isalnum() or b >= 128 or b == 33 else 32 for b in range(256))
 SHOUTED = b"*!!"
@@ -55,12 +63,23 @@ def log_odds(table: list[tuple[bytes, int, int]], toxic: int, other: int) -> dic
         prior = PRIOR_WEIGHT * (a + b) / (toxic + other)
         here, there = a + prior, b + prior
         weight = math.log(here / max(1e-9, toxic + PRIOR_WEIGHT - here)) - math.log(there / max(1e-9, other + PRIOR_WEIGHT - there))
-        deviations = weight / math.sqrt(1 / here + 1 / there)
-        if abs(deviations) >= LEAST_DEVIATIONS and a + b >= LEAST_DOCUMENTS:
-            scores[token] = max(-4.0, min(8.0, weight))
+        scores[token] = max(-4.0, min(8.0, weight))
     return scores
 
 
+def likelihood_ratio(toxic: int, other: int) -> Column:
+    """Twice the log likelihood ratio of different and equal rates of a token in ``toxic`` and ``other`` documents.
+
+    Unlike log-odds over their deviation it is also right for tokens that one label never has. Tokens with equal rates reach
+    a value of x with a chance below exp(-x / 2).
+    """
+    seen = F.col("toxic") + F.col("other")
+    cells = [(F.col("toxic"), seen * toxic), (F.col("other"), seen * other)]
+    cells += [(toxic - F.col("toxic"), (toxic + other - seen) * toxic), (other - F.col("other"), (toxic + other - seen) * other)]
+    terms = [F.when(n > 0, n * F.log(n * (toxic + other) / expected)).otherwise(0.0) for n, expected in cells]
+    return 2 * (terms[0] + terms[1] + terms[2] + terms[3])
+
+
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments [begin, end) with positive sums, in one pass (Ruzzo and Tompa).
 
@@ -101,7 +120,7 @@ class Model:
 
     def __init__(self, scores: dict[bytes, float], drift: float, decay_: float = 1.0, constant: float = 1.0):
         self.scores, self.drift, self.decay, self.constant = scores, drift, decay_, constant
-        self.weights = (-3.0, 0.0, 0.0)
+        self.weights = (-3.0, 0.0, 0.0, 0.0)
         self.cache: dict[bytes, float] = {}
 
     def __getstate__(self) -> dict:
@@ -128,11 +147,16 @@ class Model:
             if expected <= SIGNIFICANT:
                 total += evidence
                 passages.append((begin, end, score, -math.expm1(-expected)))
-        return best, math.log1p(total), passages
+        return best, total, passages
 
     def score(self, best: float, total: float) -> float:
-        a, b, c = self.weights
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, a + b * best + c * total))))
+        a, *others = self.weights
+        return 1 / (1 + math.exp(-max(-60.0, min(60.0, a + sum(w * x for w, x in zip(others, measures(best, total)))))))
+
+
+def measures(best: float, total: float) -> tuple[float, float, float]:
+    """What the logistic weights apply to. Passages are as good as independent, so their evidence also counts as a sum."""
+    return best, math.log1p(total), min(MOST_EVIDENCE, total)
 
 
 def logistic(rows: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
@@ -150,14 +174,54 @@ def logistic(rows: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
+def copy_marks(tokens: list[bytes]) -> list[int]:
+    """A mark for each band; texts that share most runs of tokens have one in common. Without tokens there are none."""
+    if not tokens:
+        return []
+    last = max(1, len(tokens) - RUN_TOKENS + 1)
+    runs = np.fromiter((zlib.crc32(b" ".join(tokens[i : i + RUN_TOKENS])) for i in range(last)), np.uint64, last)
+    least = []
+    for factor, shift in np.random.default_rng(5).integers(1 << 63, size=(COPY_BANDS * BAND_HASHES, 2), dtype=np.uint64):
+        least.append(int(((runs * (factor | np.uint64(1)) + shift) >> np.uint64(20)).min()))
+    bands = [least[i : i + BAND_HASHES] for i in range(0, len(least), BAND_HASHES)]
+    digests = [hashlib.blake2b(repr((i, band)).encode(), digest_size=8).digest() for i, band in enumerate(bands)]
+    return [int.from_bytes(x, "little", signed=True) for x in digests]
+
+
+def without_copies(texts: DataFrame) -> DataFrame:
+    """The rows of a stored (doc_id, label, text) table that are no copies of a row with another doc_id.
+
+    Of rows that share a mark, those whose doc_id has the smallest hash stay, so something of every group is left. A toxic
+    text with fifty copies would else make each of its rare words look toxic.
+    """
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, own in id_and_bytes(batches):
+            marks = [copy_marks(tokens_of(t)) for t in own]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "marks"])
+
+    marks = texts.select("doc_id", "text").mapInArrow(marked, "doc_id bigint, marks array<bigint>")
+    # Of the training table alone: at most COPY_BANDS rows of two numbers for each of its documents.
+    marks = stored(marks.select(F.col("doc_id").alias("of_doc"), F.explode("marks").alias("mark")), "marks")
+    first = marks.groupBy("mark").agg(F.min(F.struct(F.xxhash64("of_doc").alias("order"), "of_doc")).alias("first"))
+    copies = marks.join(first, "mark").filter(F.col("first.of_doc") != F.col("of_doc")).select("of_doc").distinct()
+    kept = stored(texts.join(F.broadcast(copies), F.col("doc_id") == F.col("of_doc"), "left_anti"), "training")
+    forget(marks)
+    return kept
+
+
 def training_texts(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(label, text) of labelled documents that are not held out, at most about ``most``; a stored table."""
+    """(label, text) of labelled documents that are not held out, at most about ``most``, without copies; a stored table."""
     marks = labels.select(F.col("doc_id").cast("bigint").alias("of_doc"), F.col("toxic").cast("int").alias("label"))
     marks = marks.filter(~held_out(F.col("of_doc")) & F.col("label").isin(0, 1) & F.col("of_doc").isNotNull()).distinct()
     chosen = marks.orderBy(F.xxhash64("of_doc"), "of_doc", "label").limit(most)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most `most` rows of two numbers: bounded, so broadcast.
-    return stored(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("of_doc")).select("label", "text"), "training")
+    labelled = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("of_doc")).select("doc_id", "label", "text")
+    labelled = stored(labelled, "labelled")
+    kept = without_copies(labelled)
+    forget(labelled)
+    return kept.select("label", "text")
 
 
 def fitted(training: DataFrame) -> Model:
@@ -180,10 +244,11 @@ def fitted(training: DataFrame) -> Model:
         return Model({}, -1.0)
     summed = training.mapInArrow(counted, "token binary, toxic bigint, other bigint").groupBy("token")
     summed = summed.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    # Only tokens whose rates differ by more than chance could leave the cluster: a bounded number of them.
-    rate = F.abs(F.col("toxic") / toxic - F.col("other") / other) / F.sqrt((F.col("toxic") + F.col("other")) / (toxic + other))
-    often = summed.filter(F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS)
-    top = often.orderBy(F.desc(rate), "token").limit(SCORED_TOKENS).collect()
+    often = stored(summed.filter(F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS), "tokens")
+    # Only tokens whose rates differ by more than chance leave the cluster, with regard to how many were compared.
+    ratio, least = likelihood_ratio(toxic, other), 2 * math.log(max(1, often.count()) / CHANCE_TOKENS)
+    top = often.filter(ratio >= least).orderBy(F.desc(ratio), "token").limit(SCORED_TOKENS).collect()
+    forget(often)
     scores = log_odds([(bytes(r["token"]), r["toxic"], r["other"]) for r in top], toxic, other)
     model = Model(scores, -0.5)
     broadcast = training.sparkSession.sparkContext.broadcast(model)
@@ -233,7 +298,7 @@ def calibrated(training: DataFrame, model: Model) -> Model:
     model.constant = math.exp(max(-20.0, min(5.0, (mean or 0.0) - 0.5772156649)))
     # As many rows as the training table has: bounded by its parameter.
     rows = measured(spark.sparkContext.broadcast(model)).select("label", "best", "total").collect()
-    data = np.array([(r["best"], r["total"]) for r in sorted(rows)], float)
+    data = np.array([measures(r["best"], r["total"]) for r in sorted(rows)], float)
     model.weights = logistic(data, np.array([r["label"] for r in sorted(rows)], float))
     return model
 

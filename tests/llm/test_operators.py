@@ -373,6 +373,34 @@ def test_toxicity(spark, nothing):
     assert not toxicity.toxicity(frame, labels.limit(0)).filter("predicted = 1").count()
 
 
+def test_copies_and_chance_do_not_look_toxic(spark):
+    rnd, docs, marks = random.Random(23), [], []
+    word = lambda n: "".join(rnd.choice("abcdefghijk") for _ in range(n))
+    usual = [word(rnd.randint(2, 9)) for _ in range(3000)]
+    copied = [rnd.choice(usual) for _ in range(150)] + ["scumful", "vile"]
+    for i in range(1600):
+        own = [rnd.choice(usual) for _ in range(rnd.randint(30, 300))]
+        if i % 8 == 0:
+            for _ in range(2):
+                own.insert(rnd.randrange(len(own)), rnd.choice(["vile", "nasty", f"scum{word(3)}"]))
+        elif i % 8 == 1 and i < 800:
+            own = [w if rnd.random() < 0.98 else rnd.choice(usual) for w in copied[:-2]] + copied[-2:]
+        elif i % 8 == 3:  # words of the copied text, but not its runs
+            own[::2] = [rnd.choice(copied[:-2]) for _ in own[::2]]
+        docs.append((i, " ".join(own)))
+        marks.append((i, int(i % 8 == 0 or i % 8 == 1 and i < 800)))
+    frame, labels = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(marks, "doc_id BIGINT, toxic INT")
+    training = toxicity.training_texts(frame, labels, 20_000)
+    assert training.filter(F.col("text").contains("scumful")).count() == 1
+    scores = toxicity.fitted(training).scores
+    assert {b"vile", b"nasty", b"scum*"} <= scores.keys() and not scores.keys() & {w.encode() for w in usual}
+    answer = {r.doc_id: r for r in toxicity.toxicity(frame, labels).filter("held_out").collect()}
+    toxic = [answer[d] for d, y in marks if y and d in answer]
+    other = [answer[d] for d, y in marks if not y and d in answer]
+    assert sum(r.predicted for r in toxic) > 0.97 * len(toxic) and sum(r.predicted for r in other) < 0.01 * len(other)
+    assert sum(bool(r.passages) for r in other) < 0.02 * len(other)
+
+
 def test_layout():
     page = """<title>T</title><style>x</style><body><h1>Head <b>bold</b></h1><p>One
         two<p>Three &amp; four<br>five<ul><li>a<li>b<ul><li>c</ul></ul><ol start=3><li>x<li>y</ol>
