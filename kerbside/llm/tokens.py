@@ -11,6 +11,12 @@ import os
 import re
 from array import array
 from collections.abc import Callable
+from functools import reduce
+from operator import add
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Pieces that one worker remembers; at about 200 bytes each this bounds its memory.
 CACHED_PIECES = 700_000
@@ -36,7 +42,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """A cache from pieces (bytes) to values made of their ids; ``before`` stands before every piece.
+    """A cache from pieces (bytes) to values made of their ids, which add up; ``before`` stands before every piece.
 
     ``cased`` tells whether the tokenizer keeps capital letters. ``frequent`` holds values that are never forgotten. The cache
     starts anew when it is full; pieces of more than ``CACHED_BYTES`` are not kept.
@@ -57,6 +63,7 @@ class Encoder(dict):
         self.merged = self.tokenizer.model.tokenize
         self.value, self.cased, self.before = value, cased, before
         self.letters = byte_letters()
+        self.before_letters = before.translate(self.letters)
         self.frequent = frequent or {}
         self.update(self.frequent)
 
@@ -71,17 +78,23 @@ class Encoder(dict):
     def __missing__(self, piece: bytes) -> bytes | int:
         if len(self) >= CACHED_PIECES:
             self.start_anew()
-        text = piece.decode()
-        if not piece or b"<|" in piece or not PLAIN.fullmatch(text):
-            done = self.whole(self.before + text)
-        else:
-            runs = CASED_RUNS.findall(text) if self.cased else LOWER_RUNS.findall(text.lower())
-            runs[0] = self.before + runs[0]
-            done = self.value([t for run in runs for t in self.merged(run.encode().decode("latin-1").translate(self.letters))])
+        done = self.encoded(piece)
         if len(piece) <= CACHED_BYTES:
             self[piece] = done
         return done
 
+    def encoded(self, piece: bytes) -> bytes | int:
+        text = piece.decode()
+        if piece.isalpha():  # one run of ASCII letters, which are written as they are
+            return self.value(self.merged(self.before_letters + (text if self.cased else text.lower())))
+        if not piece or b"<|" in piece or not PLAIN.fullmatch(text):
+            return self.whole(self.before + text)
+        runs = CASED_RUNS.findall(text) if self.cased else LOWER_RUNS.findall(text.lower())
+        if len(runs) > 1 and not self.before:  # a word with a comma has the ids of the word and of the comma
+            return reduce(add, [self[run.encode()] for run in runs])
+        runs[0] = self.before + runs[0]
+        return self.value([t for run in runs for t in self.merged(run.encode().decode("latin-1").translate(self.letters))])
+
 
 def ids_as_bytes(tokens: list) -> bytes:
     """Little-endian unsigned 32-bit ids, of ids or of the merge model's tokens."""
@@ -95,6 +108,23 @@ def ids_of_words(encoder: Encoder, text: bytes) -> bytes:
     return b"".join(map(encoder.__getitem__, text.lower().split()))
 
 
+def ids_of_texts(encoder: Encoder, texts: list[bytes]) -> list[bytes]:
+    """``ids_of_words`` of each text; a word is looked up once for all of them, however often they have it."""
+    own = pa.array([b"" if b"<|" in x else x.lower() for x in texts], pa.large_binary())
+    words = pc.ascii_split_whitespace(own.view(pa.large_string()))
+    found = words.flatten().dictionary_encode()
+    different = found.dictionary.view(pa.large_binary()).to_pylist()
+    # White space at either end of a text gives an empty word.
+    ids = pa.array([encoder[x] if x else b"" for x in different], pa.large_binary()).take(found.indices)
+    if not len(ids):
+        return [encoder.whole(x.decode()) if b"<|" in x else b"" for x in texts]
+    _, bounds, data = ids.buffers()
+    data = data.to_pybytes() if data else b""
+    ends = np.frombuffer(bounds, np.int64)[words.offsets.to_numpy()].tolist()
+    parts = [data[a:b] for a, b in zip(ends, ends[1:])]
+    return [encoder.whole(x.decode()) if b"<|" in x else part for x, part in zip(texts, parts)]
+
+
 # Before one space alone, and before several that follow a sign or letter of ASCII.
 _CUTS = re.compile(rb"(?<! )(?= (?! ))|(?<=[!-~])(?=  )")
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.tables import id_and_bytes, shared_folder
-from kerbside.llm.tokens import ids_of_words, public_path, word_encoder
+from kerbside.llm.tokens import ids_of_texts, public_path, word_encoder
 
 # Ids in a shard (one row of a file), and bits between two stored ranks.
 SHARD_IDS, RANK_BITS = 1 << 20, 512
@@ -45,7 +45,8 @@ class WaveletMatrix:
             ranks.append(np.concatenate([np.zeros(1, np.uint32), np.cumsum(blocks, dtype=np.uint32)]))
             planes.append(packed)
             zeros.append(int(len(ids) - ones.sum()))
-            ids = np.concatenate([ids[~ones], ids[ones]])
+            # By places, whose time does not depend on how the bits alternate.
+            ids = np.concatenate([ids.take(np.flatnonzero(~ones)), ids.take(np.flatnonzero(ones))])
         return cls(len(ids), zeros, planes, ranks)
 
     def rank(self, plane: int, place: int) -> int:
@@ -114,8 +115,8 @@ class WaveletMatrix:
         for up, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
             ones = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
             merged = np.empty(self.n, np.uint32)
-            merged[~ones] = values[:zeros]
-            merged[ones] = values[zeros:] | np.uint32(1 << up)
+            merged[np.flatnonzero(~ones)] = values[:zeros]
+            merged[np.flatnonzero(ones)] = values[zeros:] | np.uint32(1 << up)
             values = merged
         return values
 
@@ -165,8 +166,8 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
         planes = bits or max(end_id, *encoder.tokenizer.get_vocab().values()).bit_length()
         held, parts, size = [], [], 0
         for ids, texts in id_and_bytes(batches):
-            for doc, text in zip(ids, texts):
-                part = ids_of_words(encoder, text) + end
+            for doc, part in zip(ids, ids_of_texts(encoder, texts)):
+                part += end
                 if parts and size + len(part) // 4 > most:
                     yield packed_shard(base + nth, held, parts, planes)
                     held, parts, size, nth = [], [], 0, nth + 1

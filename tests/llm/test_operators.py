@@ -271,6 +271,25 @@ def test_kept_agrees_with_labelled_quality(spark):
     assert len(bad) >= 10 and sum(bad) <= 0.1 * len(bad) and sum(good) >= 0.95 * len(good)
 
 
+def test_words_of_many_texts_are_looked_up_once(corpus):
+    word = tokens.word_encoder(tokens.public_path("word_bpe_49k.json"))
+    texts = [(t or "").encode() for _, t in corpus[0]]
+    texts += [x.encode() for x in (" Word, word.\tWORD\x0bÉtat,état; 12.5% \x1cx\x85y\u3000z ", "it's <|endoftext|> Word,", "...", " \n", "a\x00b c", "straße, ÑANDÚ")]
+    looked: list[bytes] = []
+
+    class Counting(tokens.Encoder):
+        def __getitem__(self, piece):
+            looked.append(piece)
+            return super().__getitem__(piece)
+
+    counting = Counting(tokens.public_path("word_bpe_49k.json"), tokens.ids_as_bytes, cased=False)
+    assert tokens.ids_of_texts(counting, texts) == [word.whole(x.decode()) for x in texts]
+    asked = {w for x in texts if b"<|" not in x for w in x.lower().split()}
+    compound = sum(len(tokens.LOWER_RUNS.findall(w.decode().lower())) for w in asked)
+    assert set(looked) >= asked and len(looked) <= len(asked) + compound
+    assert tokens.ids_of_texts(word, []) == [] and tokens.ids_of_texts(word, [b"", b" "]) == [b"", b""]
+
+
 def test_wavelet_matrix_answers_from_its_planes():
     ids = np.random.default_rng(9).integers(0, 37, 3000).astype(np.uint16)
     matrix = wavelet.WaveletMatrix.of(ids, 6)
