@@ -38,7 +38,7 @@ class WaveletMatrix:
     def of(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         zeros, planes, ranks = [], [], []
         for k in range(bits - 1, -1, -1):
-            ones = (ids >> k & 1).astype(bool)
+            ones = (ids & ids.dtype.type(1 << k)) != 0
             packed = np.packbits(ones, bitorder="little")
             packed = np.concatenate([packed, np.zeros(-len(packed) % (RANK_BITS // 8), np.uint8)])
             blocks = np.bitwise_count(packed.reshape(-1, RANK_BITS // 8)).sum(axis=1, dtype=np.uint32)
@@ -111,14 +111,15 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids in order, from the lowest plane up."""
-        values = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.zeros) <= 16 else np.uint32
+        values = np.zeros(self.n, kind)
         for up, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
             ones = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
-            merged = np.empty(self.n, np.uint32)
+            merged = np.empty(self.n, kind)
             merged[np.flatnonzero(~ones)] = values[:zeros]
-            merged[np.flatnonzero(ones)] = values[zeros:] | np.uint32(1 << up)
+            merged[np.flatnonzero(ones)] = values[zeros:] | kind(1 << up)
             values = merged
-        return values
+        return values.astype(np.uint32)
 
 
 def packed_shard(shard: int, docs: list[int], parts: list[bytes], bits: int) -> pa.RecordBatch:
